@@ -29,6 +29,7 @@ def lookup_join(
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Join a large fact to a lookup table on ``keys`` (pairs fact column, table column).
 
@@ -37,8 +38,8 @@ def lookup_join(
     Column names of the two sides must not clash.
     """
     if fits_broadcast(table, max_rows):
-        return _join(fact, F.broadcast(table), keys, residual, how)
-    return salted_join(fact, table, keys, residual, how, salts)
+        return _join(fact, F.broadcast(table), keys, residual, how, null_safe)
+    return salted_join(fact, table, keys, residual, how, salts, null_safe)
 
 
 def salted_join(
@@ -48,18 +49,21 @@ def salted_join(
     residual: Column | None = None,
     how: str = "left",
     salts: int = SALTS,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Shuffle join in which one key's fact rows go to ``salts`` tasks.
 
-    The salt is a hash of the whole fact row, so a task that runs again salts alike.
+    The salt is a hash of the fact row and of the partition it was read in: copies of one row
+    spread too, and a task that runs again on its partition salts alike.
     """
     if how not in ("inner", "left"):
         raise ValueError("only the fact side is salted: use inner or left")
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]), F.lit(salts)).cast("int")
+    mixed = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns], F.spark_partition_id())
+    salt = F.pmod(mixed, F.lit(salts)).cast("int")
     spread = fact.withColumn("__salt_l", salt)
     copies = table.withColumn("__salt_r", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     both = [*keys, ("__salt_l", "__salt_r")]
-    return _join(spread, copies, both, residual, how).drop("__salt_l", "__salt_r")
+    return _join(spread, copies, both, residual, how, null_safe).drop("__salt_l", "__salt_r")
 
 
 def _join(
@@ -68,8 +72,13 @@ def _join(
     keys: Sequence[tuple[str, str]],
     residual: Column | None,
     how: str,
+    null_safe: bool,
 ) -> DataFrame:
-    tests = [F.col(left) == F.col(right) for left, right in keys]
+    def same(left: str, right: str) -> Column:
+        a, b = F.col(left), F.col(right)
+        return a.eqNullSafe(b) if null_safe else a == b
+
+    tests = [same(left, right) for left, right in keys]
     if residual is not None:
         tests.append(residual)
     return fact.join(table, functools.reduce(lambda a, b: a & b, tests), how)
