@@ -34,9 +34,9 @@ START = dt.date(2000, 6, 30)
 RUN_DATE = dt.date(2001, 6, 16)
 SPAN = Span("S", START, RUN_DATE)
 SETTINGS = Settings(
-    skilled_nursing_tenants=("AFRICA", "ASIA"),
+    skilled_nursing_tenants=("1-URGENT", "2-HIGH"),
     skilled_nursing_after=dt.date(1999, 12, 31),
-    balance_flag_exempt=("ASIA", "EUROPE"),
+    balance_flag_exempt=("3-MEDIUM", "5-LOW"),
     excluded_authority=23,
     diagnoses_since=dt.date(1999, 1, 1),
 )
@@ -55,57 +55,60 @@ def _extract(day: str) -> str:
     """
 
 
-_ORDER_FACTS = """
-    SELECT r_name AS tenant, n_nationkey, n_name, c_mktsegment, c_acctbal, c_name, o_custkey,
-           o_orderkey, o_orderstatus, o_orderpriority, o_totalprice, o_orderdate,
-           CAST(o_orderdate AS DATE) AS day,
-           CASE WHEN c_acctbal < 0 THEN -o_orderkey ELSE o_orderkey END AS record_id
+# An order is a record, its priority the tenant; small orders have the negated id.
+_ORDERED = """
+    SELECT o_orderpriority AS tenant,
+           CASE WHEN o_totalprice < 15000 THEN -o_orderkey ELSE o_orderkey END AS record_id,
+           o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+           CAST(o_orderdate AS DATE) AS day
     FROM {orders}
-    JOIN {customer} ON o_custkey = c_custkey
-    JOIN {nation} ON c_nationkey = n_nationkey
-    JOIN {region} ON n_regionkey = r_regionkey
+"""
+
+_ORDER_FACTS = """
+    SELECT *, CAST(c_nationkey AS SMALLINT) AS authority,
+           'NATION_' || CAST(c_nationkey AS STRING) AS nation_name
+    FROM {ordered} JOIN {customer} ON o_custkey = c_custkey
 """
 
 _RECORDS = """
-    SELECT tenant, record_id, CAST(n_nationkey AS SMALLINT) AS authority, day AS from_date,
+    SELECT tenant, record_id, authority, day AS from_date,
            CASE WHEN o_orderstatus = 'F' THEN day + 90 ELSE DATE '2041-01-01' END AS thru_date,
-           CASE WHEN o_totalprice < 12000 THEN 'X' WHEN o_totalprice < 25000 THEN 'N'
+           CASE WHEN o_totalprice < 25000 THEN 'X' WHEN o_totalprice < 50000 THEN 'N'
                 ELSE o_orderstatus END AS class_code,
-           CASE WHEN c_mktsegment = 'HOUSEHOLD' AND n_nationkey < 9
-                THEN 'T' || CAST(n_nationkey AS STRING) ELSE o_orderpriority END AS type_code,
-           c_mktsegment AS drg_code,
-           CASE WHEN n_nationkey = 12 THEN '750|' ELSE '100|' END || n_name AS org1_code,
-           n_name AS org3_code,
-           CASE WHEN n_nationkey = 24 THEN 'vita-' ELSE '' END || lower(n_name) AS payer1_code,
-           o_orderpriority AS payer2_code, c_mktsegment AS payer3_code,
+           'T' || CAST(c_nationkey AS STRING) AS type_code, c_mktsegment AS drg_code,
+           CASE WHEN c_nationkey = 16 THEN '750|' ELSE '100|' END || nation_name AS org1_code,
+           nation_name AS org3_code,
+           CASE WHEN c_nationkey = 24 THEN 'vita-' ELSE '' END || lower(nation_name)
+             AS payer1_code,
+           c_mktsegment AS payer2_code, tenant AS payer3_code,
            nullif(o_orderstatus, 'O') AS payer4_code,
            CASE WHEN o_orderstatus = 'F' THEN day + 10 END AS discharge_date,
            CASE WHEN o_totalprice > 490000 THEN 'Y' ELSE 'N' END AS extra_balance_flag
     FROM {order_facts}
     UNION ALL
-    SELECT tenant, record_id, CAST(n_nationkey AS SMALLINT), day + 91, DATE '2041-01-01', 'O',
-           o_orderpriority, c_mktsegment, '100|' || n_name, n_name, lower(n_name),
-           o_orderpriority, c_mktsegment, CAST(NULL AS STRING), day + 10, 'N'
+    SELECT tenant, record_id, authority, day + 91, DATE '2041-01-01', 'O',
+           'T' || CAST(c_nationkey AS STRING), c_mktsegment, '100|' || nation_name, nation_name,
+           lower(nation_name), c_mktsegment, tenant, CAST(NULL AS STRING), day + 10, 'N'
     FROM {order_facts} WHERE o_orderstatus = 'F'
 """
 
 _LINE_FACTS = """
-    SELECT tenant, record_id, l_orderkey, o_custkey, c_acctbal, day,
-           CAST(l_shipdate AS DATE) AS ship_date, l_shipdate, o_orderdate, l_linenumber,
+    SELECT tenant, record_id, o_custkey, day, CAST(l_shipdate AS DATE) AS ship_date, l_linenumber,
            CAST(nullif(l_quantity, 50) AS DECIMAL(19, 3)) AS quantity,
            CAST(l_extendedprice AS DECIMAL(20, 2)) AS amount,
            l_returnflag, l_linestatus, p_type, p_brand, CAST(p_size AS STRING) AS p_size
     FROM {lineitem}
     JOIN {part} ON l_partkey = p_partkey
-    JOIN {order_facts} ON l_orderkey = o_orderkey
+    JOIN {ordered} ON l_orderkey = o_orderkey
 """
 
 _TERMS = """
     SELECT * FROM (VALUES
-      ('1-URGENT', 'TY1'), ('2-HIGH', 'TY2'), ('3-MEDIUM', 'HI|TY3|X'),
-      ('4-NOT SPECIFIED', 'TY4'), ('5-LOW', 'TY5'),
       ('T0', 'TT0'), ('T1', 'TT1'), ('T2', 'TT2'), ('T3', 'TT3'), ('T4', 'TT4'), ('T5', 'TT5'),
-      ('T6', 'TT6'), ('T7', 'TT7'), ('T8', 'TT8'),
+      ('T6', 'TT6'), ('T7', 'TT7'), ('T8', 'TT8'), ('T9', 'TY1'), ('T10', 'TY1'),
+      ('T12', 'TY2'), ('T13', 'TY2'), ('T14', 'TY2'), ('T15', 'HI|TY3|X'), ('T16', 'HI|TY3|X'),
+      ('T17', 'HI|TY3|X'), ('T18', 'TY4'), ('T19', 'TY4'), ('T20', 'TY5'), ('T21', 'TY5'),
+      ('T22', 'TY6'),
       ('BUILDING', 'SEG1'), ('MACHINERY', 'SEG2'), ('FURNITURE', 'SEG3'),
       ('PROMO', 'DX1'), ('SMALL', 'DX2'), ('MEDIUM', 'DX3'),
       ('19', 'PX1'), ('20', 'PX2'), ('21', 'PX1')
@@ -139,7 +142,7 @@ def _groups() -> str:
         ("SEG2", X.G_UNCODED, X.F_SERVICE, low, high),
         ("SEG3", X.G_DELIVERY, X.F_SERVICE, low, "2001-01-15"),
         ("nation_3", X.G_COVID, X.F_SERVICE, "2000-07-01", "2001-01-31"),
-        ("2-HIGH", "OTHER", X.F_SERVICE, low, high),
+        ("MACHINERY", "OTHER", X.F_SERVICE, low, high),
         ("HOUSEHOLD", X.G_COVID, X.F_SERVICE, "2000-08-15", "2000-10-31"),
         ("P", X.G_COVID, X.F_SERVICE, "2001-05-01", high),
         ("TY1", X.G_EMERGENCY, X.F_TYPE, low, high),
@@ -170,11 +173,11 @@ def _groups() -> str:
 
 # Customers' orders by day as history rows; a day with several orders is one row.
 _CUSTOMER_DAYS = """
-    SELECT tenant, o_custkey AS record_id, day AS from_date,
-           CAST(max(n_nationkey) AS SMALLINT) AS authority,
-           min(o_orderstatus) AS first_status, max(o_orderstatus) AS last_status,
-           nullif(min(o_orderpriority), '5-LOW') AS priority, max(o_orderdate) AS seen_at
-    FROM {order_facts} GROUP BY tenant, o_custkey, day
+    SELECT c_mktsegment AS tenant, o_custkey AS record_id, day AS from_date,
+           max(authority) AS authority, min(o_orderstatus) AS first_status,
+           max(o_orderstatus) AS last_status, nullif(min(tenant), '5-LOW') AS priority,
+           max(o_orderdate) AS seen_at
+    FROM {order_facts} GROUP BY c_mktsegment, o_custkey, day
 """
 
 
@@ -221,6 +224,7 @@ FIXTURES = {
     FROM {target}
     """,
     "period_calendar": "SELECT DISTINCT CAST(o_orderdate AS DATE) AS calendar_date FROM {orders}",
+    "ordered": _ORDERED,
     "order_facts": _ORDER_FACTS,
     "line_facts": _LINE_FACTS,
     "records": _RECORDS,
@@ -231,25 +235,26 @@ FIXTURES = {
     """,
     "balances": """
     SELECT tenant, record_id, day AS from_date, day + 180 AS thru_date,
-           CASE WHEN o_orderpriority IN ('1-URGENT', '5-LOW') THEN NULL
-                WHEN c_acctbal < 3000 THEN CAST(0 AS DECIMAL(20, 2))
+           CASE WHEN o_orderstatus = 'O' THEN NULL
+                WHEN o_totalprice < 300000 THEN CAST(0 AS DECIMAL(20, 2))
                 ELSE CAST(o_totalprice AS DECIMAL(20, 2)) END AS total_charge
-    FROM {order_facts}
+    FROM {ordered}
     UNION ALL
     SELECT tenant, record_id, day + 181, DATE '2041-01-01',
            CASE WHEN o_totalprice < 150000 THEN CAST(0 AS DECIMAL(20, 2))
                 ELSE CAST(o_totalprice AS DECIMAL(20, 2)) END
-    FROM {order_facts}
+    FROM {ordered}
     """,
     "admissions": """
     SELECT tenant, record_id, day AS admit_date,
-           CASE WHEN c_acctbal NOT BETWEEN 0 AND 300 THEN o_orderdate END AS admitted_at,
+           CASE WHEN o_totalprice NOT BETWEEN 480000 AND 490000 THEN o_orderdate
+                END AS admitted_at,
            CASE WHEN o_orderstatus = 'P' THEN DATE '1111-11-11' ELSE day + 10
                 END AS discharge_date,
-           CASE WHEN c_acctbal NOT BETWEEN 0 AND 300 AND o_orderstatus <> 'P'
+           CASE WHEN o_totalprice NOT BETWEEN 480000 AND 490000 AND o_orderstatus <> 'P'
                 THEN o_orderdate END AS discharged_at,
            CASE WHEN o_totalprice > 495000 THEN 'N' ELSE 'Y' END AS active
-    FROM {order_facts} WHERE day < DATE '2001-06-01'
+    FROM {ordered} WHERE day < DATE '2001-06-01'
     """,
     "diagnoses": """
     SELECT tenant, record_id, nullif(p_type, 'LARGE') AS diagnosis_code,
@@ -261,11 +266,11 @@ FIXTURES = {
     SELECT tenant, record_id, p_brand || '/' || p_size AS item_code FROM {line_facts}
     """,
     "sources": """
-    SELECT CASE WHEN c_acctbal > 9000 THEN 'X' ELSE '' END || CAST(l_orderkey AS STRING)
+    SELECT CASE WHEN o_totalprice > 450000 THEN 'X' ELSE '' END || CAST(l_orderkey AS STRING)
              AS source_key,
            tenant, l_orderkey AS record_id, o_custkey AS person_id,
            l_shipdate AS modified_at, o_orderdate AS added_at
-    FROM {line_facts}
+    FROM {lineitem} JOIN {ordered} ON l_orderkey = o_orderkey
     """,
     "names": """
     SELECT c_custkey AS person_id, 'GVN_NM' AS name_type,
@@ -279,25 +284,23 @@ FIXTURES = {
     """,
     "grouper": """
     SELECT tenant, record_id, day AS from_date, day + 400 AS thru_date,
-           nullif(o_orderpriority, '5-LOW') AS line_group,
-           nullif(c_mktsegment, 'HOUSEHOLD') AS line,
-           CASE WHEN n_nationkey >= 3 THEN n_name END AS care_family,
-           CASE WHEN o_orderpriority = '1-URGENT' THEN NULL
+           nullif(tenant, '5-LOW') AS line_group, nullif(c_mktsegment, 'HOUSEHOLD') AS line,
+           CASE WHEN c_nationkey >= 3 THEN nation_name END AS care_family,
+           CASE WHEN o_totalprice < 60000 THEN NULL
                 WHEN o_orderstatus = 'F' THEN 'Ungroupable'
                 WHEN o_orderstatus = 'O' THEN 'Outpatient:: ' || c_mktsegment || ' :x'
                 ELSE c_mktsegment END AS procedure_text
     FROM {order_facts}
     """,
     "queue": """
-    SELECT record_id, CAST(n_nationkey AS SMALLINT) AS authority, tenant,
-           CAST(1 AS BIGINT) AS job_id, o_orderdate AS added_at, o_orderdate AS modified_at,
-           day + 1 AS extract_date,
+    SELECT record_id, CAST(1 AS SMALLINT) AS authority, tenant, CAST(1 AS BIGINT) AS job_id,
+           o_orderdate AS added_at, o_orderdate AS modified_at, day + 1 AS extract_date,
            CASE WHEN o_orderstatus = 'F' THEN day WHEN o_orderstatus = 'P' THEN day + 6
                 END AS result_date
-    FROM {order_facts} WHERE day < DATE '2001-05-01'
+    FROM {ordered} WHERE day < DATE '2001-05-01'
     """,
     "known_history": """
-    SELECT tenant, record_id, day AS from_date FROM {order_facts}
+    SELECT tenant, record_id, day AS from_date FROM {ordered}
     WHERE day < DATE '2001-03-01' AND o_orderstatus <> 'P'
     """,
     "classes": """
@@ -311,6 +314,10 @@ FIXTURES = {
       ('Brand#2/30', 'OTHER'), ('Brand#20/41', '{X.T_LEGACY}')) AS t(source_key, term_key)
     """,
     "customer_days": _CUSTOMER_DAYS,
+    "active_customers": """
+    SELECT tenant, record_id, min(from_date) AS from_date, DATE '2041-01-01' AS thru_date
+    FROM {customer_days} GROUP BY tenant, record_id
+    """,
     "staged_days": """
     SELECT tenant, record_id, from_date, authority, DATE '2041-01-01' AS thru_date,
            last_status AS patient_class, priority AS service_line_1
@@ -323,10 +330,10 @@ FIXTURES = {
     """,
     # Several orders of a customer in a month share a key.
     "month_rows": """
-    SELECT tenant, o_custkey AS record_id, CAST(date_trunc('month', o_orderdate) AS DATE)
-             AS from_date, CAST(n_nationkey AS SMALLINT) AS authority,
-           o_orderstatus AS patient_class, nullif(o_orderpriority, '5-LOW') AS line_1,
-           nullif(c_mktsegment, 'BUILDING') AS line_2
+    SELECT c_mktsegment AS tenant, o_custkey AS record_id,
+           CAST(date_trunc('month', o_orderdate) AS DATE) AS from_date, authority,
+           o_orderstatus AS patient_class, nullif(tenant, '5-LOW') AS line_1,
+           nullif(nation_name, 'NATION_1') AS line_2
     FROM {order_facts}
     """,
     "stored_days": _stored("2000-03-31"),

@@ -99,10 +99,10 @@ def cut_history(t: Inputs):
 
 
 @query("""
-    SELECT * FROM stored_days WHERE NOT (from_date >= DATE '1999-12-31' AND tenant = 'EUROPE')
+    SELECT * FROM stored_days WHERE NOT (from_date >= DATE '1999-12-31' AND tenant = 'MACHINERY')
 """)
 def cut_tenant_inclusive(t: Inputs):
-    return H.cut_after(t.stored_days, START, tenant="EUROPE", inclusive=True)
+    return H.cut_after(t.stored_days, START, tenant="MACHINERY", inclusive=True)
 
 
 CHAIN = """coalesce(lead(from_date) OVER (PARTITION BY tenant, record_id ORDER BY from_date) - 1,
@@ -174,11 +174,11 @@ def pivot_sparse_rows(t: Inputs):
 
 
 @query("""
-    SELECT * FROM stored_days WHERE tenant <> 'ASIA'
+    SELECT * FROM stored_days WHERE tenant <> 'BUILDING'
     UNION ALL BY NAME
     SELECT record_id, from_date, authority, tenant, CAST(7 AS BIGINT) AS job_id,
       TIMESTAMP '2001-06-16 00:00:00' AS added_at, TIMESTAMP '2001-06-16 00:00:00' AS modified_at,
-      thru_date, patient_class, service_line_1 FROM all_days WHERE tenant = 'ASIA'
+      thru_date, patient_class, service_line_1 FROM all_days WHERE tenant = 'BUILDING'
 """)
 def replace_slice(t: Inputs):
     """One tenant's rows deleted and loaded again."""
@@ -186,7 +186,7 @@ def replace_slice(t: Inputs):
     new = t.all_days.withColumns(
         {"job_id": F.lit(7).cast("bigint"), "added_at": stamp, "modified_at": stamp}
     )
-    return S.replace_slice(t.stored_days, new, "tenant", "ASIA")
+    return S.replace_slice(t.stored_days, new, "tenant", "BUILDING")
 
 
 @query("""

@@ -229,6 +229,6 @@ def sentinel_date(t: Inputs):
     return t.admissions.select("tenant", "record_id", on.alias("discharged_on"))
 
 
-@query("SELECT * FROM records WHERE tenant = 'ASIA' AND record_id > 0")
+@query("SELECT * FROM records WHERE tenant = '2-HIGH' AND record_id > 0")
 def tenant_positive_ids(t: Inputs):
-    return t.records.where((F.col("tenant") == "ASIA") & (F.col("record_id") > 0))
+    return t.records.where((F.col("tenant") == "2-HIGH") & (F.col("record_id") > 0))

@@ -99,13 +99,15 @@ def dated_fact_lookup(t: Inputs):
 
 @query("""
     SELECT h.patient_class, count(*) AS records
-    FROM records r LEFT JOIN stored_days h ON h.tenant = r.tenant AND h.record_id = r.record_id
+    FROM active_customers r LEFT JOIN stored_days h ON h.tenant = r.tenant AND h.record_id = r.record_id
       AND DATE '2000-03-15' BETWEEN h.from_date AND h.thru_date
     WHERE DATE '2000-03-15' BETWEEN r.from_date AND r.thru_date
     GROUP BY h.patient_class
 """)
 def class_counts_asof(t: Inputs):
-    return N.class_counts(t.records, t.stored_days, KEYS, "patient_class", dt.date(2000, 3, 15))
+    return N.class_counts(
+        t.active_customers, t.stored_days, KEYS, "patient_class", dt.date(2000, 3, 15)
+    )
 
 
 @query("""

@@ -45,8 +45,8 @@ def append_rows(t: Inputs):
     """A table written by two appends, by tenant."""
     rows = t.charges.select("tenant", "record_id", "post_date", "quantity")
     path = _scratch(t, "append")
-    S.append(rows.where("tenant < 'B'"), path)
-    S.append(rows.where("tenant >= 'B'"), path)
+    S.append(rows.where("tenant < '3'"), path)
+    S.append(rows.where("tenant >= '3'"), path)
     return S.read_path(t.spark, path)
 
 
@@ -72,7 +72,7 @@ def version_switch(t: Inputs):
 
 
 @query("""
-    SELECT tenant, record_id, CASE WHEN tenant = 'ASIA' THEN DATE '2001-06-16'
+    SELECT tenant, record_id, CASE WHEN tenant = '2-HIGH' THEN DATE '2001-06-16'
       ELSE from_date END AS from_date FROM records
 """)
 def partition_overwrite(t: Inputs):
@@ -80,7 +80,7 @@ def partition_overwrite(t: Inputs):
     path = _scratch(t, "slices")
     rows = t.records.select("tenant", "record_id", "from_date")
     S.overwrite_partitions(S.spread_for_write(rows, ["tenant"], 2), path, "tenant")
-    again = rows.where("tenant = 'ASIA'").withColumn("from_date", F.lit("2001-06-16").cast("date"))
+    again = rows.where("tenant = '2-HIGH'").withColumn("from_date", F.lit("2001-06-16").cast("date"))
     S.overwrite_partitions(again, path, "tenant")
     return S.read_path(t.spark, path).select("tenant", "record_id", "from_date")
 
