@@ -30,14 +30,18 @@ def lookup_join(
     max_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
     null_safe: bool = False,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join a large fact to a lookup table on ``keys`` (pairs fact column, table column).
 
     A table counted to be small is broadcast, which no hot code can skew. Beyond that bound
     the rows of one code are spread over ``salts`` tasks and the table is repeated per salt.
-    Column names of the two sides must not clash.
+    ``small`` is the answer of ``fits_broadcast`` where the caller has it, for the table itself
+    or for one it is a part of. Column names of the two sides must not clash.
     """
-    if fits_broadcast(table, max_rows):
+    if small is None:
+        small = fits_broadcast(table, max_rows)
+    if small:
         return _join(fact, F.broadcast(table), keys, residual, how, null_safe)
     return salted_join(fact, table, keys, residual, how, salts, null_safe)
 
