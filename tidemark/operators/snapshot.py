@@ -62,6 +62,19 @@ class Span:
     def last(self) -> dt.date:
         return self.yesterday if self.run_type == FULL else self.run_date
 
+    @staticmethod
+    def ends_month(day: dt.date) -> bool:
+        return (day + dt.timedelta(days=1)).day == 1
+
+    def month_ends(self) -> list[dt.date]:
+        """Ends of the months from the start's to the last day's."""
+        ends = []
+        year, month = self.start.year, self.start.month
+        while (year, month) <= (self.last.year, self.last.month):
+            year, month = (year + 1, 1) if month == 12 else (year, month + 1)
+            ends.append(dt.date(year, month, 1) - dt.timedelta(days=1))
+        return ends or [self.start]
+
     def holds(self, day: Column) -> Column:
         """Is ``day`` a snapshot date? The bounds are literals, so a scan can use them."""
         point = is_month_end(day) | (day == F.lit(self.yesterday))
@@ -89,18 +102,29 @@ def expand(
 ) -> DataFrame:
     """Each row once per snapshot date in its interval, without a join.
 
-    A range join with the calendar is a nested loop; here every row lists its own month ends.
+    A range join with the calendar is a nested loop. Here the month ends of the span are a
+    literal list, as long as the span has months, and a row takes its slice by month number.
     """
     low = F.greatest(F.col(start), F.lit(span.start))
     high = F.least(F.col(end), F.lit(span.last))
-    months = F.sequence(F.trunc(low, "MM"), high, F.expr("interval 1 month"))
-    ends = F.filter(F.transform(months, F.last_day), lambda d: d.between(low, high))
-    extra = F.when(
-        F.lit(span.yesterday).between(low, high), F.array(F.lit(span.yesterday))
-    ).otherwise(F.array().cast("array<date>"))
+    ends = F.array(*[F.lit(d) for d in span.month_ends()])
+    first = _months_after(low, span.start)
+    # The month of ``high`` counts only when ``high`` is its end.
+    until = _months_after(F.date_add(high, 1), span.start)
+    slices = F.slice(ends, first + 1, F.greatest(until - first, F.lit(0)))
+    points = slices
+    if not span.ends_month(span.yesterday):
+        has_extra = F.lit(span.yesterday).between(low, high)
+        extra = F.when(has_extra, F.array(F.lit(span.yesterday))).otherwise(
+            F.array().cast("array<date>")
+        )
+        points = F.concat(slices, extra)
     bounded = F.col(start).isNotNull() & F.col(end).isNotNull() & (low <= high)
-    points = F.when(bounded, F.array_distinct(F.concat(ends, extra)))
-    return df.withColumn("snapshot_date", F.explode(points))
+    return df.withColumn("snapshot_date", F.explode(F.when(bounded, points)))
+
+
+def _months_after(day: Column, start: dt.date) -> Column:
+    return F.year(day) * 12 + F.month(day) - F.lit(start.year * 12 + start.month)
 
 
 def snapshot_grid(
@@ -179,6 +203,40 @@ def fact_as_of(
     return grid.join(side, test, how).drop(*names.values(), "__f_start", "__f_end")
 
 
+def grid_with_steps(
+    records: DataFrame,
+    steps: DataFrame,
+    span: Span,
+    keys: Sequence[str],
+    measures: Sequence[str],
+    calendar: DataFrame | None = None,
+) -> DataFrame:
+    """Records by snapshot with the totals of their key; NULL before its first step.
+
+    A record meets each step of its key once and is spread over the snapshots the two share.
+    Spreading it first would hold every snapshot against every step.
+    """
+    order = Window.partitionBy(*keys).orderBy("step_from")
+    side = steps.withColumn(
+        "__cover",
+        F.when(F.row_number().over(order) == 1, F.lit(span.start)).otherwise(F.col("step_from")),
+    ).withColumnsRenamed({k: f"__s_{k}" for k in keys})
+    test = (F.col("__cover") <= F.col("thru_date")) & (F.col("step_thru") >= F.col("from_date"))
+    for key in keys:
+        test = (F.col(key) == F.col(f"__s_{key}")) & test
+    joined = records.join(side, test, "left").withColumns(
+        {
+            "__lo": F.greatest("from_date", "__cover"),
+            "__hi": F.least("thru_date", "step_thru"),
+        }
+    )
+    grid = snapshot_grid(joined, span, calendar, "__lo", "__hi")
+    known = F.col("snapshot_date") >= F.col("step_from")
+    return grid.withColumns({m: F.when(known, F.col(m)) for m in measures}).drop(
+        *[f"__s_{k}" for k in keys], "__cover", "__lo", "__hi", "step_from", "step_thru"
+    )
+
+
 def totals_to_date(
     records: DataFrame,
     detail: DataFrame,
@@ -189,10 +247,15 @@ def totals_to_date(
     calendar: DataFrame | None = None,
 ) -> DataFrame:
     """Per key and snapshot the detail summed to date; absent before the first detail row."""
-    steps = to_date_steps(detail, span, keys, day, measures)
-    grid = snapshot_grid(records, span, calendar).select(*keys, "snapshot_date")
-    joined = fact_as_of(grid, steps, keys, "step_from", "step_thru", how="inner")
-    return joined.groupBy(*keys, "snapshot_date").agg(*[F.sum(m).alias(m) for m in measures])
+    counted = {**measures, "__rows": F.lit(1)}
+    steps = to_date_steps(detail, span, keys, day, counted)
+    dated = records.select(*keys, "from_date", "thru_date")
+    joined = grid_with_steps(dated, steps, span, keys, list(counted), calendar)
+    return (
+        joined.where(F.col("__rows").isNotNull())
+        .groupBy(*keys, "snapshot_date")
+        .agg(*[F.sum(m).alias(m) for m in measures])
+    )
 
 
 def valid_at(
