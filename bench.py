@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import time
 
 from tidemark import catalog
@@ -57,10 +58,12 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     queries = catalog.queries()
 
-    def best(frame) -> float:
-        return min(run(frame), run(frame))
+    def best(name: str, frame) -> float:
+        took = min(run(frame), run(frame))
+        print(name, took, file=sys.stderr, flush=True)
+        return took
 
-    times = {name: best(lambda: queries[name](spark, folder)) for name in HEADLINE}
+    times = {n: best(n, lambda: queries[n](spark, folder)) for n in HEADLINE}
     line = {
         "metric": "headline queries, best of two runs each",
         "value": round(sum(times.values()), 3),
@@ -69,7 +72,9 @@ def main() -> None:
         "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
     }
     if os.environ.get("BENCH_PLAIN"):
-        line["plain"] = {n: best(lambda: plain_frame(n, spark, folder)) for n in PLAIN}
+        line["plain"] = {
+            n: best(f"plain {n}", lambda: plain_frame(n, spark, folder)) for n in PLAIN
+        }
     print(json.dumps(line))
     spark.stop()
 

@@ -23,16 +23,12 @@ PLAIN = {
       AND c.post_date <= m.snapshot_date
     GROUP BY r.tenant, r.record_id, m.snapshot_date
     """,
-    "or_key_join": """
-    SELECT DISTINCT e.tenant, e.record_id FROM {sources} e JOIN {queue} q
-      ON q.record_id = e.record_id OR q.record_id = -TRY_CAST(e.source_key AS BIGINT)
-    """,
 }
 
 
 def plain_frame(name: str, spark: SparkSession, folder: str) -> DataFrame:
     inputs = Inputs(spark, folder)
     text = PLAIN[name]
-    names = [n for n in ("records", "charges", "period_calendar", "sources", "queue")
+    names = [n for n in ("records", "charges", "period_calendar")
              if "{" + n + "}" in text]
     return spark.sql(text, **{n: getattr(inputs, n) for n in names})

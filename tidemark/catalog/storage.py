@@ -1,6 +1,7 @@
 """Sources and sinks, each over a whole table."""
 
-import tempfile
+import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +16,7 @@ from tidemark.sources import tables as S
 
 def _scratch(t: Inputs, name: str) -> str:
     """A new folder on the storage all executors share."""
-    return f"{shared_folder(t.spark)}/{name}-{next(tempfile._get_candidate_names())}"
+    return f"{shared_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @query("""
@@ -56,7 +57,7 @@ def append_control(t: Inputs):
     path = _scratch(t, "control")
     S.append(S.empty_table(t.spark, schemas.CONTROL), path, schemas.CONTROL)
     metrics = scd2.change_metrics(scd2.compare(t.target, t.stage, SPEC, RUN_DATE))
-    now = runlog.dt.datetime(2000, 1, 1)
+    now = dt.datetime(2000, 1, 1)
     S.append(runlog.control_row(metrics, now, now, "load.csv"), path, schemas.CONTROL)
     return S.read_path(t.spark, path).drop("job_start_time", "job_end_time")
 
