@@ -166,24 +166,6 @@ def running_steps(
     )
 
 
-def to_date_steps(
-    detail: DataFrame,
-    span: Span,
-    keys: Sequence[str],
-    day: str,
-    measures: Mapping[str, Column],
-) -> DataFrame:
-    """Sums of all detail dated up to each snapshot, as steps per key.
-
-    Every detail row is counted once, at the first snapshot that sees it, already in the map
-    tasks; the plain form joins each row to every later snapshot.
-    """
-    seen = detail.where(F.col(day) <= F.lit(span.last)).select(
-        *keys, span.first_seen(F.col(day)).alias("point"), *[m.alias(n) for n, m in measures.items()]
-    )
-    return running_steps(seen, keys, list(measures), "point")
-
-
 def fact_as_of(
     grid: DataFrame,
     fact: DataFrame,
@@ -246,15 +228,34 @@ def totals_to_date(
     measures: Mapping[str, Column],
     calendar: DataFrame | None = None,
 ) -> DataFrame:
-    """Per key and snapshot the detail summed to date; absent before the first detail row."""
-    counted = {**measures, "__rows": F.lit(1)}
-    steps = to_date_steps(detail, span, keys, day, counted)
-    dated = records.select(*keys, "from_date", "thru_date")
-    joined = grid_with_steps(dated, steps, span, keys, list(counted), calendar)
-    return (
-        joined.where(F.col("__rows").isNotNull())
-        .groupBy(*keys, "snapshot_date")
-        .agg(*[F.sum(m).alias(m) for m in measures])
+    """Per key and snapshot the detail summed to date, once per record that covers the snapshot;
+    absent before the first detail row.
+
+    Records are counted like detail, one more where they begin and one less after they end. So
+    detail and records need no join: both run through one running sum, whose steps are spread
+    over the snapshots at the end.
+    """
+    valid = records.where(F.col("from_date") <= F.col("thru_date"))
+    after = F.date_add("thru_date", 1)
+    begins = valid.select(*keys, span.first_seen(F.col("from_date")).alias("point"))
+    ends = valid.select(*keys, span.first_seen(after).alias("point"))
+    seen = detail.where(F.col(day) <= F.lit(span.last)).select(
+        *keys,
+        span.first_seen(F.col(day)).alias("point"),
+        *[m.alias(n) for n, m in measures.items()],
+        F.lit(1).alias("__rows"),
+    )
+    changes = seen
+    for side, sign in ((begins, 1), (ends, -1)):
+        inside = side.where(F.col("point") <= F.lit(span.last))
+        changes = changes.unionByName(
+            inside.withColumn("__cover", F.lit(sign)), allowMissingColumns=True
+        )
+    steps = running_steps(changes, keys, [*measures, "__rows", "__cover"], "point")
+    held = steps.where((F.col("__rows") > 0) & (F.col("__cover") > 0))
+    grid = snapshot_grid(held, span, calendar, "step_from", "step_thru")
+    return grid.select(
+        *keys, "snapshot_date", *[(F.col(m) * F.col("__cover")).alias(m) for m in measures]
     )
 
 
