@@ -8,10 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tidemark import catalog
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = catalog.queries()
+SQL = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -31,6 +32,7 @@ def shown(value):
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(SQL)
+    assert QUERIES.keys() <= entry.queries().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)
