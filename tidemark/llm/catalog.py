@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, decontaminate, language_id, license_scan, token_counts
+from tidemark.llm import (
+    chat,
+    decontaminate,
+    embedding_dups,
+    language_id,
+    license_scan,
+    ngram_join,
+    token_counts,
+)
 from tidemark.llm.common import documents, importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,18 +44,29 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), vocabulary())
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.linked_documents(documents(spark, sf_dir))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.contained_items(documents(spark, sf_dir), items)
 
 
+def op10_embedding_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
+    return embedding_dups.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def queries() -> dict[str, Query]:
     named = (
         op1_language_id,
         op2_chat_format,
         op3_license_scan,
         op5_token_counts,
+        op6_ngram_join,
         op9_decontaminate,
+        op10_embedding_dups,
     )
     return {f.__name__: f for f in named}
 
