@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-SLICE_BYTES = 4 << 20
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+SLICE_BYTES = 1 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -24,21 +25,24 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 @contextlib.contextmanager
-def freed_shuffles(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of the jobs inside go when their job ends; its rows are in a table by then."""
-    before = spark.conf.get(FREE_SHUFFLES, None)
-    spark.conf.set(FREE_SHUFFLES, "true")
+def step_settings(spark: SparkSession) -> Iterator[None]:
+    """For jobs that end in a table: their shuffle files go with them, Arrow batches stay small."""
+    wanted = {FREE_SHUFFLES: "true", BATCH_BYTES: "16m"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: lineage is cut there."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    with freed_shuffles(spark):
+    with step_settings(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

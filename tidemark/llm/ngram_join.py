@@ -83,7 +83,7 @@ def levels(texts: DataFrame, width: int) -> np.ndarray:
         held = np.zeros(1 << SLOT_BITS, np.uint32)
         for _, sets in parts_of(batches, width):
             slot = (np.concatenate(sets) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-            held += np.bincount(slot, minlength=len(held)).astype(np.uint32)
+            np.add.at(held, slot, np.uint32(1))
         held = np.minimum(held, 65535).astype(np.uint16).reshape(-1, per_part)
         some = np.flatnonzero(held.any(axis=1))
         yield pa.RecordBatch.from_arrays(
@@ -106,7 +106,8 @@ def levels(texts: DataFrame, width: int) -> np.ndarray:
     form = "part int, counts binary"
     out = np.zeros(1 << SLOT_BITS, np.uint8).reshape(-1, per_part)
     # the table is of fixed size, so this is what the driver gets at any size of the input
-    for row in texts.mapInArrow(count, form).repartition("part").mapInArrow(add, form).collect():
+    summed = stored(texts.mapInArrow(count, form).repartition("part").mapInArrow(add, form), "levels")
+    for row in summed.collect():
         out[row.part] = np.frombuffer(row.counts, np.uint8)
     return out.ravel()
 
