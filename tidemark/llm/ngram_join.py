@@ -169,14 +169,14 @@ def index_lists(classes: DataFrame) -> DataFrame:
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin in range(0, len(batch), 4096):
-                part = batch.slice(begin, 4096)
+            for begin in range(0, len(batch), 512):
+                part = batch.slice(begin, 512)
                 tokens = [np.frombuffer(x, np.int64) for x in part.column("prefix").to_pylist()]
                 if not tokens:
                     continue
                 row = np.repeat(np.arange(len(tokens)), [len(x) for x in tokens])
                 place = np.concatenate([np.arange(len(x)) for x in tokens])
-                taken = part.take(pa.array(row))
+                taken = part.select(["id", "n"]).take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate(tokens)),
