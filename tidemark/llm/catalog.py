@@ -12,7 +12,10 @@ from tidemark.llm import (
     embedding_dups,
     language_id,
     license_scan,
+    line_dedup,
+    mixing,
     ngram_join,
+    suffix_dedup,
     token_counts,
 )
 from tidemark.llm.common import documents, importable
@@ -40,6 +43,12 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.summary(license_scan.scan_licenses(documents(spark, sf_dir)))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rated = mixing.mixed_rates(documents(spark, sf_dir).select("doc_id", "text"), labels)
+    return rated.drop("text")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), vocabulary())
 
@@ -48,6 +57,15 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked_documents(documents(spark, sf_dir))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.summary(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return suffix_dedup.summary(docs, suffix_dedup.removed_spans(docs))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.contained_items(documents(spark, sf_dir), items)
@@ -63,8 +81,11 @@ def queries() -> dict[str, Query]:
         op1_language_id,
         op2_chat_format,
         op3_license_scan,
+        op4_mixing,
         op5_token_counts,
         op6_ngram_join,
+        op7_line_dedup,
+        op8_suffix_dedup,
         op9_decontaminate,
         op10_embedding_dups,
     )

@@ -196,7 +196,6 @@ def identify(
 
 def known_languages(docs: DataFrame, min_score: float = 0.3, **options) -> DataFrame:
     """Documents in a learned language; those without letters or with a lower score go."""
-    names = docs.columns
-    extra = tuple(c for c in names if c != "doc_id")
-    found = identify(docs.select(*names), keep=extra, **options)
-    return found.where(F.col("lang_pred") != UNKNOWN).where(F.col("score") >= min_score).select(*names)
+    whole = docs.select("doc_id", "text", "lang", F.struct(*docs.columns).alias("_doc"))
+    found = identify(whole, keep=("_doc",), **options)
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("_doc.*")

@@ -28,13 +28,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import (
     LOWER,
     Rolling,
     components,
     mixed,
+    one_text_each,
     slices,
+    small,
     stored,
     text_bytes,
     word_spans,
@@ -124,13 +127,15 @@ def bitmap(tokens: np.ndarray) -> bytes:
     return np.packbits(odd.astype(bool), bitorder="little").tobytes()
 
 
-def bitmap_difference(a: bytes, b: bytes) -> int:
-    """Never more than the number of tokens that are in one of the two sets only."""
-    if len(a) > len(b):
+def bitmap_difference(a: tuple[int, int], b: tuple[int, int]) -> int:
+    """Never more than the number of tokens in one of the two sets only; bitmaps as (bits, value)."""
+    if a[0] > b[0]:
         a, b = b, a
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
-    return int(np.bitwise_count(x ^ y).sum())
+    bits, value = b
+    while bits > a[0]:
+        bits //= 2
+        value = (value >> bits) ^ (value & ((1 << bits) - 1))
+    return (a[1] ^ value).bit_count()
 
 
 def described(texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -192,13 +197,13 @@ def index_lists(classes: DataFrame) -> DataFrame:
     )
 
 
-def block_pairs(m: int, size: np.ndarray, place: np.ndarray, comp: np.ndarray, percent: int):
+def block_pairs(size: np.ndarray, place: np.ndarray, comp: np.ndarray, percent: int):
     """Pairs (i, j) of a list sorted by place that may link and lie in two components.
 
     The list is cut into blocks; a pair of blocks is skipped when by its bounds of size and
     place no pair of it can link, or when both hold one and the same component.
     """
-    cuts = np.arange(0, m, LIST_BLOCK)
+    cuts = np.arange(0, len(size), LIST_BLOCK)
     low = np.minimum.reduceat(size, cuts)
     high = np.maximum.reduceat(size, cuts)
     least = np.minimum.reduceat(place, cuts)
@@ -209,70 +214,108 @@ def block_pairs(m: int, size: np.ndarray, place: np.ndarray, comp: np.ndarray, p
                 continue
             if high[i] * 100 < low[j] * percent or high[j] * 100 < low[i] * percent:
                 continue
-            most = min(high[i] - least[i], high[j] - least[j])
-            if most < required(low[i], low[j], percent):
+            if min(high[i] - least[i], high[j] - least[j]) < required(low[i], low[j], percent):
                 continue
-            b = cuts[j]
-            x, y = slice(a, a + LIST_BLOCK), slice(b, b + LIST_BLOCK)
-            n, p = size[x][:, None], place[x][:, None]
-            fits = np.minimum(n - p, size[y] - place[y]) >= required(n, size[y], percent)
-            fits &= (100 * np.minimum(n, size[y]) >= percent * np.maximum(n, size[y])) & (
-                comp[x][:, None] != comp[y]
+            u, v = np.meshgrid(
+                np.arange(a, min(a + LIST_BLOCK, len(size))),
+                np.arange(cuts[j], min(cuts[j] + LIST_BLOCK, len(size))),
+                indexing="ij",
             )
-            u, v = np.nonzero(fits)
-            u, v = u + a, v + b
-            yield (u[u < v], v[u < v]) if i == j else (u, v)
+            u, v = u.ravel(), v.ravel()
+            if i == j:
+                u, v = u[u < v], v[u < v]
+            good = fitting(u, v, size, place, comp, percent)
+            yield u[good], v[good]
+
+
+def fitting(u, v, size, place, comp, percent: int) -> np.ndarray:
+    """Whether entries u and v of a list lie in two components and may link by size and place."""
+    n, m = size[u], size[v]
+    good = np.minimum(n - place[u], m - place[v]) >= required(n, m, percent)
+    return good & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (comp[u] != comp[v])
+
+
+def run_pairs(token: np.ndarray, size, place, comp, percent: int):
+    """Pairs of entries within each run of equal tokens; short runs all at once, long ones by block."""
+    cuts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+    lengths = np.diff(np.r_[cuts, len(token)])
+    for b, m in zip(cuts[lengths > LIST_BLOCK], lengths[lengths > LIST_BLOCK], strict=True):
+        own = slice(b, b + m)
+        for u, v in block_pairs(size[own], place[own], comp[own], percent):
+            yield u + b, v + b
+    rows = np.flatnonzero(np.repeat(lengths <= LIST_BLOCK, lengths))
+    end = np.repeat(cuts + lengths, lengths)
+    apart = 1
+    while len(rows := rows[rows + apart < end[rows]]):
+        good = fitting(rows, rows + apart, size, place, comp, percent)
+        yield rows[good], rows[good] + apart
+        apart += 1
 
 
 def list_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (a < b) of lists that hold several components."""
+    """Candidate pairs (a, b, their sizes) of lists that hold several components.
+
+    Pairs that differ too much by their bitmaps do not leave the task.
+    """
     kind = lists.schema["id"].dataType.simpleString()
 
     def pairs(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = pa.Table.from_batches(rows).combine_chunks()
-        ids = whole.column("id")
-        comp = whole.column("comp").combine_chunks().dictionary_encode().indices
-        n, place = (np.asarray(whole.column(c), dtype=np.int64) for c in ("n", "place"))
-        for u, v in block_pairs(len(ids), n, place, np.asarray(comp), percent):
-            for begin in range(0, len(u), 1 << 16):
-                a = ids.take(pa.array(u[begin : begin + (1 << 16)])).combine_chunks()
-                b = ids.take(pa.array(v[begin : begin + (1 << 16)])).combine_chunks()
+        number = whole.column("id").combine_chunks().dictionary_encode()
+        ids, code = number.dictionary, np.asarray(number.indices, dtype=np.int64)
+        comp = np.asarray(whole.column("comp").combine_chunks().dictionary_encode().indices)
+        token, n, place = (np.asarray(whole.column(c), dtype=np.int64) for c in ("token", "n", "place"))
+        _, at = np.unique(code, return_index=True)
+        size = n[at]
+        bits = [(len(x) * 8, int.from_bytes(x, "little")) for x in whole.column("bits").take(at).to_pylist()]
+        done: np.ndarray = np.zeros(0, np.int64)
+        for u, v in run_pairs(token, n, place, comp, percent):
+            u, v = code[u], code[v]
+            new = np.setdiff1d(np.minimum(u, v) * len(ids) + np.maximum(u, v), done)
+            done = np.union1d(done, new) if len(done) < 1 << 20 else new
+            u, v = new // len(ids), new % len(ids)
+            most = size[u] + size[v] - 2 * required(size[u], size[v], percent)
+            apart = np.array([bitmap_difference(bits[i], bits[j]) for i, j in zip(u, v, strict=True)], np.int64)
+            u, v = u[apart <= most], v[apart <= most]
+            if len(u):
+                a, b = ids.take(pa.array(u)), ids.take(pa.array(v))
                 less = pa.compute.less(a, b)
+                n_a, n_b = pa.array(size[u]), pa.array(size[v])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.compute.if_else(less, a, b), pa.compute.if_else(less, b, a)], ["a", "b"]
+                    [
+                        pa.compute.if_else(less, x, y)
+                        for x, y in ((a, b), (b, a), (n_a, n_b), (n_b, n_a))
+                    ],
+                    ["a", "b", "n_a", "n_b"],
                 )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        token = None
         for batch in batches:
             tokens = np.asarray(batch.column("token"))
-            cuts = [0, *(np.flatnonzero(tokens[1:] != tokens[:-1]) + 1), len(tokens)]
-            for b, e in zip(cuts[:-1], cuts[1:], strict=True):
-                if b == e:
-                    continue
-                if held and tokens[b] != token:
-                    yield from pairs(held)
-                    held = []
-                token = tokens[b]
-                held.append(batch.slice(b, e - b))
+            if not len(tokens):
+                continue
+            # whole lists only: the last one may go on in the next batch
+            cut = int(np.searchsorted(tokens, tokens[-1]))
+            if cut:
+                yield from pairs([*held, batch.slice(0, cut)])
+                held = []
+            elif held and held[-1].column("token")[0].as_py() != tokens[0]:
+                yield from pairs(held)
+                held = []
+            held.append(batch.slice(cut))
         if held:
             yield from pairs(held)
 
     return (
-        lists.select("token", "id", "n", "place", "comp")
+        lists.select("token", "id", "n", "place", "comp", "bits")
         .repartition("token")
         .sortWithinPartitions("token", "place", "id")
-        .mapInArrow(search, f"a {kind}, b {kind}")
+        .mapInArrow(search, f"a {kind}, b {kind}, n_a long, n_b long")
         .distinct()
     )
 
 
-def small(df: DataFrame, most: int = 2_000_000) -> DataFrame:
-    """``df`` (ids) for a broadcast join where it has at most ``most`` rows, else as it is."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
-
-
 def with_bitmaps(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) with their sizes, without those whose bitmaps differ too much."""
     side = lambda x: classes.select(
@@ -285,10 +328,11 @@ def with_bitmaps(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFram
         for batch in batches:
             sizes = [np.asarray(batch.column(c), dtype=np.int64) for c in ("n_a", "n_b")]
             most = sizes[0] + sizes[1] - 2 * required(*sizes, percent)
-            apart = [
-                bitmap_difference(x, y)
-                for x, y in zip(*(batch.column(c).to_pylist() for c in ("bits_a", "bits_b")), strict=True)
-            ]
+            bits = (
+                [(len(x) * 8, int.from_bytes(x, "little")) for x in batch.column(c).to_pylist()]
+                for c in ("bits_a", "bits_b")
+            )
+            apart = [bitmap_difference(x, y) for x, y in zip(*bits, strict=True)]
             near = pa.array(np.array(apart, np.int64) <= most)
             yield batch.select(["a", "b", "n_a", "n_b"]).filter(near)
 
@@ -323,7 +367,7 @@ def overlaps(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
             ]
             yield batch.select(names).append_column("common", pa.array(common, pa.int64()))
 
-    form = pairs.schema.add("common", "long")
+    form = T.StructType(pairs.schema.fields[:]).add("common", "long")
     return joined.select(*names, "x", "y").mapInArrow(count, form)
 
 
@@ -353,13 +397,17 @@ def links_of(classes: DataFrame, texts: DataFrame, width: int, percent: int) ->
         .where("x <> y")
         .select("token")
     )
-    rest = stored(labelled.drop("component").join(several, "token", "left_semi"), "rest-lists")
+    rest = (
+        labelled.drop("component")
+        .join(several, "token", "left_semi")
+        .join(classes.select("id", "bits"), "id")
+    )
     asked = (
         list_pairs(rest, percent)
         .join(known.select("a", "b"), ["a", "b"], "left_anti")
         .join(known.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
     )
-    pairs = stored(with_bitmaps(asked, classes, percent), "rest-pairs")
+    pairs = stored(asked, "rest-pairs")
     # answers of a star's centre stand for its members: |b & a| lies between bounds of |b & centre|
     centres = (
         known.where(linked)
@@ -397,15 +445,6 @@ def required_column(a: str, b: str, percent: int):
     return F.ceil((F.col(a) + F.col(b)) * percent / (100 + percent) - 1e-9)
 
 
-def one_text_each(texts: DataFrame) -> DataFrame:
-    """Rows that share an id as one row with the greatest of their texts."""
-    repeated = texts.groupBy("id").agg(F.count("*").alias("held")).where("held > 1").select("id")
-    if repeated.isEmpty():
-        return texts
-    merged = texts.join(repeated, "id", "left_semi").groupBy("id").agg(F.max("text").alias("text"))
-    return texts.join(repeated, "id", "left_anti").unionByName(merged)
-
-
 def linked_documents(
     docs: DataFrame,
     width: int = 3,
