@@ -201,7 +201,7 @@ def distinct_keys(keys: np.ndarray):
 
 def removed_spans(
     docs: DataFrame, length: int = 400, q: int = 17, id_column: str = "doc_id", text_column: str = "text",
-    round_share: float = 1.5,
+    round_share: float = 2.0,
 ) -> DataFrame:
     """Documents that lose bytes: id, spans (removed runs, bytes), kept (remaining bytes).
 
