@@ -29,7 +29,7 @@ from tidemark.llm.common import LOWER, Rolling, slices, stored, text_bytes, word
 
 IS_WORD = np.ones(256, bool)
 IS_WORD[[32, 9, 10, 11, 12, 13]] = False
-SAMPLE_CHARS = 8000  # of a labelled row, for learning only
+SAMPLE_CHARS = 4000  # of a labelled row, for learning only
 # Shares of the mixture: toxic, else poor, else good text.
 TOXIC, POOR = 0.02, 0.1
 
@@ -60,9 +60,13 @@ class Model:
         at[at == len(self.words)] = 0
         known = self.words[at] == hashes if len(self.words) else np.zeros(len(at), bool)
         size = len(self.words)
-        counts = np.bincount(row[known] * size + at[known], minlength=size * len(texts)) if size else np.zeros(0)
-        terms = np.log1p(200.0 * counts.reshape(len(texts), size) / np.maximum(1, n)[:, None])
-        return np.hstack([np.ones((len(texts), 1)), 10 * np.sqrt(shares), terms]).astype(np.float32), n
+        x = np.ones((len(texts), 1 + 256 + size), np.float32)
+        x[:, 1:257] = 10 * np.sqrt(shares)
+        if size:
+            counts = np.bincount(row[known] * size + at[known], minlength=size * len(texts))
+            x[:, 257:] = counts.reshape(len(texts), size)
+            x[:, 257:] = np.log1p(200 * x[:, 257:] / np.maximum(1, n)[:, None])
+        return x, n
 
     def posteriors(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         x, n = self.features(texts)
@@ -71,7 +75,7 @@ class Model:
         return e / e.sum(axis=1, keepdims=True), n
 
 
-def fit(rows: list[tuple[str, str]], words: int = 2048, steps: int = 300, ridge: float = 1e-3) -> Model:
+def fit(rows: list[tuple[str, str]], words: int = 1024, steps: int = 300, ridge: float = 1e-3) -> Model:
     """A softmax regression from (domain, text) pairs; domains count by their number of rows."""
     domains = sorted({d for d, _ in rows}) or ["all"]
     texts = pa.array([t for _, t in rows], pa.large_string())
@@ -196,7 +200,7 @@ def mixed_rates(
     docs: DataFrame,
     labels: DataFrame,
     targets: dict[str, float] | None = None,
-    rows_per_domain: int = 1500,
+    rows_per_domain: int = 800,
 ) -> DataFrame:
     """``docs`` with n_tokens, domain (the likeliest), its posterior and the rate.
 
