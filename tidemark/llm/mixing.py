@@ -16,6 +16,7 @@ one, repeated ones alike. An empty table gives no rows. Other columns are carrie
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,23 +28,26 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import LOWER, Rolling, slices, stored, text_bytes, word_spans
 
-IS_WORD = np.ones(256, bool)
-IS_WORD[[32, 9, 10, 11, 12, 13]] = False
+IS_TOKEN = np.ones(256, bool)
+IS_TOKEN[[32, 9, 10, 11, 12, 13]] = False
+IS_WORD = np.zeros(256, bool)
+IS_WORD[48:58] = IS_WORD[97:123] = IS_WORD[128:] = True
 SAMPLE_CHARS = 4000  # of a labelled row, for learning only
 # Shares of the mixture: toxic, else poor, else good text.
 TOXIC, POOR = 0.02, 0.1
 
 
-def counted(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte shares of every text, and of every word its text and hash."""
+def counted(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens and byte shares of every text, and of every word its text and hash."""
     data, offsets = text_bytes(texts)
     data = LOWER[data]
+    tokens = np.diff(word_spans(data, offsets, IS_TOKEN)[2])
     begins, ends, first = word_spans(data, offsets, IS_WORD)
     row = np.repeat(np.arange(len(texts)), np.diff(first))
     owner = np.repeat(np.arange(len(texts)), np.diff(offsets))
     shares = np.bincount(owner * 256 + data, minlength=256 * len(texts)).reshape(-1, 256)
     shares = shares / np.maximum(1, np.diff(offsets))[:, None]
-    return shares, row, Rolling(data).ranges(begins, ends)
+    return tokens, shares, row, Rolling(data).ranges(begins, ends)
 
 
 @dataclass
@@ -53,9 +57,8 @@ class Model:
     weights: np.ndarray  # (1 + 256 + words) x domains
 
     def features(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The feature matrix and the number of words of every text."""
-        shares, row, hashes = counted(texts)
-        n = np.bincount(row, minlength=len(texts))
+        """The feature matrix and the number of tokens of every text."""
+        n, shares, row, hashes = counted(texts)
         at = np.searchsorted(self.words, hashes)
         at[at == len(self.words)] = 0
         known = self.words[at] == hashes if len(self.words) else np.zeros(len(at), bool)
@@ -75,15 +78,31 @@ class Model:
         return e / e.sum(axis=1, keepdims=True), n
 
 
-def fit(rows: list[tuple[str, str]], words: int = 1024, steps: int = 300, ridge: float = 1e-3) -> Model:
-    """A softmax regression from (domain, text) pairs; domains count by their number of rows."""
+def telling_words(texts: pa.Array, label: np.ndarray, domains: int, most: int) -> np.ndarray:
+    """The words, in three texts at least, whose presence depends most on the domain (chi squared)."""
+    *_, row, hashes = counted(texts)
+    if not len(hashes):
+        return hashes
+    pairs = np.unique(np.rec.fromarrays([hashes, row], names="word,row"))
+    found, number = np.unique(pairs["word"], return_inverse=True)
+    seen = np.bincount(number * domains + label[pairs["row"]], minlength=len(found) * domains)
+    seen = seen.reshape(-1, domains)
+    often = seen.sum(axis=1)
+    expected = often[:, None] * (np.bincount(label, minlength=domains) / len(label))
+    chi = ((seen - expected) ** 2 / np.maximum(expected, 1e-9)).sum(axis=1)
+    chi[often < 3] = -1
+    top = np.lexsort((found, -chi))[:most]
+    return np.sort(found[top[chi[top] > 0]])
+
+
+def fit(
+    rows: list[tuple[str, str]], sizes: dict[str, int], words: int = 128, steps: int = 300, ridge: float = 1e-2
+) -> Model:
+    """A softmax regression from (domain, text) pairs, corrected to the domains' ``sizes``."""
     domains = sorted({d for d, _ in rows}) or ["all"]
     texts = pa.array([t for _, t in rows], pa.large_string())
-    _, row, hashes = counted(texts)
-    pairs = np.unique(np.stack([hashes, row.astype(np.uint64)]), axis=1)[0] if len(rows) else hashes
-    found, often = np.unique(pairs, return_counts=True)
-    top = np.lexsort((found, -often))[:words]
-    model = Model(domains, np.sort(found[top[often[top] >= 3]]), np.zeros((0, 0)))
+    label = np.array([domains.index(d) for d, _ in rows], np.int64)
+    model = Model(domains, telling_words(texts, label, len(domains), words), np.zeros((0, 0)))
     x, _ = model.features(texts)
     y = np.array([[float(d == k) for k in domains] for d, _ in rows], np.float32).reshape(len(rows), len(domains))
     w = np.zeros((x.shape[1], len(domains)), np.float32)
@@ -98,11 +117,13 @@ def fit(rows: list[tuple[str, str]], words: int = 1024, steps: int = 300, ridge:
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w = w - 0.02 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     model.weights = (w / spread[:, None]).astype(np.float32)
+    taken = Counter(d for d, _ in rows)
+    model.weights[0] += [np.log(sizes[d] / taken[d]) if d in taken else 0.0 for d in domains]
     return model
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, rows_per_domain: int) -> list[tuple[str, str]]:
-    """At most ``rows_per_domain`` labelled texts of each domain, by hash of the id."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows_per_domain: int):
+    """At most ``rows_per_domain`` labelled texts of each domain, by hash of the id; all its rows."""
     domain = F.concat(F.lit("q"), F.col("quality"), F.lit("t"), F.col("toxic"))
     known = labels.select("doc_id", domain.alias("domain")).where("doc_id is not null and domain is not null")
     known = known.groupBy("doc_id").agg(F.min("domain").alias("domain"))
@@ -112,12 +133,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows_per_domain: int) ->
     chosen = (
         known.join(counts, "domain")
         .where((picked / F.lit(2.0**64) + 0.5) * F.col("n") < rows_per_domain)
-        .select("doc_id", "domain", picked.alias("picked"))
+        .select("doc_id", "domain", "n", picked.alias("picked"))
     )
     taken: dict[str, list] = {}
+    sizes: dict[str, int] = {}
     for r in sorted(rows.join(chosen, "doc_id").collect(), key=lambda r: (r.domain, r.picked, r.text)):
         taken.setdefault(r.domain, []).append((r.domain, r.text))
-    return [x for group in taken.values() for x in group[:rows_per_domain]]
+        sizes[r.domain] = r.n
+    return [x for group in taken.values() for x in group[:rows_per_domain]], sizes
 
 
 def default_targets(domains: list[str]) -> dict[str, float]:
@@ -207,7 +230,7 @@ def mixed_rates(
     Columns of these names in ``docs`` are replaced.
     """
     made = ("n_tokens", "domain", "posterior", "rate")
-    model = fit(labelled_sample(docs, labels, rows_per_domain))
+    model = fit(*labelled_sample(docs, labels, rows_per_domain))
     wanted = targets or default_targets(model.domains)
     soft = memberships(docs.select(*[c for c in docs.columns if c not in made]), model)
     # posteriors are computed again for the result, which is cheaper than to store texts
