@@ -61,7 +61,7 @@ class Gate:
     def __init__(self, table: list[Rule]):
         self.by_key: dict[bytes, list[Rule]] = {}
         for rule in table:
-            self.by_key.setdefault(max(rule.gates, key=len), []).append(rule)
+            self.by_key.setdefault(max(rule.gates, key=len, default=b""), []).append(rule)
 
     def detections(self, text: bytes) -> list[tuple[int, int, int, str]]:
         found = []
