@@ -57,6 +57,33 @@ def test_scd2_load_refuses_or_reduces_duplicates(spark, tmp_path):
     assert as_set(S.read_version(spark, paths[0]), "status") == [("new",)]
 
 
+def test_scd2_load_sets_null_keys_aside_and_counts_them(spark, tmp_path):
+    spec = scd2.Versioned(keys=("k",))
+    stage = spark.createDataFrame(
+        [(None, "a"), (None, "b"), ("1", "c"), ("2", "d")], "k string, v string"
+    )
+    target, control = f"{tmp_path}/target", f"{tmp_path}/control"
+    for day in (dt.date(2000, 1, 1), dt.date(2000, 1, 2)):
+        loads.run_scd2_load(spark, stage, target, control, spec, day, "x.csv")
+    counts = ("source_count", "insert_count", "update_count", "delete_count", "no_change_count")
+    rows = S.read_path(spark, control).orderBy("job_start_time").select(*counts).collect()
+    assert [tuple(r) for r in rows] == [(4, 2, 0, 0, 0), (4, 0, 0, 0, 2)]
+    assert S.read_version(spark, target).count() == 2
+    aside = spark.read.parquet(f"{target}_rejected")
+    assert as_set(aside, "v", "rejected_on") == [
+        (v, d) for v in ("a", "b") for d in ("2000-01-01", "2000-01-02")
+    ]
+
+
+def test_missing_compared_column_is_refused(spark):
+    spec = scd2.Versioned(keys=("k",), compared=("v", "w"))
+    target = spark.createDataFrame(
+        [], "k string, v string, w string, effective_date date, termination_date string"
+    )
+    with pytest.raises(ValueError, match="w"):
+        scd2.compare(target, target.select("k", "v"), spec, dt.date(2000, 1, 1))
+
+
 def test_history_load_of_one_tenant(spark, tmp_path):
     t = Inputs(spark, FOLDER)
     tenant = "2-HIGH"

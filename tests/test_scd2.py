@@ -149,4 +149,8 @@ def test_closed_rows_are_not_shuffled(spark, target, stage, tmp_path):
     union = plan[plan.index("Union"):]
     closed_part = union[: union.index("Exchange")]
     assert "FileScan" in closed_part
-    assert "PushedFilters: [IsNotNull(termination_date), EqualTo(termination_date,9999-12-31)]" in plan
+    # every scan of the open side leaves closed rows in the file; a NULL key is filtered there too
+    scans = [x for x in plan.splitlines() if "FileScan" in x and "effective_date" in x]
+    opened = [x for x in scans if "EqualTo(termination_date,9999-12-31)" in x]
+    assert len(opened) == len(scans) - 1
+    assert any("IsNotNull(k)" in x for x in opened)

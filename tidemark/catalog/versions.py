@@ -9,7 +9,7 @@ from tidemark.catalog.registry import Inputs, query
 from tidemark.operators import checks, runlog, scd2
 from tidemark.sources import tables as S
 
-RUN_DATE = dt.date(2000, 1, 1)
+RUN_DATE = dt.date(2002, 1, 1)
 SPEC = scd2.Versioned(keys=("client_id", "claim_id"))
 SAFE = scd2.Versioned(keys=("client_id", "claim_id"), null_safe=True)
 
@@ -30,12 +30,12 @@ def _load(differs: str, reopen: bool, retire: bool, target="target", stage="stag
     return f"""
     WITH after_close AS (
       SELECT o.client_id, o.claim_id, o.status, o.first_status, o.segment, o.effective_date,
-             CASE WHEN o.termination_date = '9999-12-31' AND {ends} THEN '2000-01-01'
+             CASE WHEN o.termination_date = '9999-12-31' AND {ends} THEN '2002-01-01'
                   ELSE o.termination_date END AS termination_date
       FROM {target} o)
     SELECT * FROM after_close
     UNION ALL
-    SELECT s.client_id, s.claim_id, s.status, s.first_status, s.segment, DATE '2000-01-01',
+    SELECT s.client_id, s.claim_id, s.status, s.first_status, s.segment, DATE '2002-01-01',
            '9999-12-31'
     FROM {stage} s WHERE NOT EXISTS (SELECT 1 FROM {seen} o WHERE o.client_id = s.client_id
       AND o.claim_id = s.claim_id AND o.termination_date = '9999-12-31')
@@ -88,12 +88,12 @@ ONE_KEY = {
       SELECT o.client_id, o.claim_id, o.status, o.first_status, o.segment, o.effective_date,
              CASE WHEN o.termination_date = '9999-12-31' AND EXISTS (
                SELECT 1 FROM single_stage s WHERE s.client_id = o.client_id
-               AND (o.claim_id <> s.claim_id OR {PLAIN})) THEN '2000-01-01'
+               AND (o.claim_id <> s.claim_id OR {PLAIN})) THEN '2002-01-01'
              ELSE o.termination_date END AS termination_date
       FROM single_target o)
     SELECT * FROM after_close
     UNION ALL
-    SELECT s.client_id, s.claim_id, s.status, s.first_status, s.segment, DATE '2000-01-01',
+    SELECT s.client_id, s.claim_id, s.status, s.first_status, s.segment, DATE '2002-01-01',
            '9999-12-31' FROM single_stage s
     WHERE NOT EXISTS (SELECT 1 FROM single_target o WHERE o.client_id = s.client_id
       AND o.termination_date = '9999-12-31')
@@ -167,7 +167,7 @@ def scd2_change_metrics(t: Inputs):
 def scd2_control_row(t: Inputs):
     """The control row without its two clock times."""
     metrics = scd2.change_metrics(scd2.compare(t.target, t.stage, SPEC, RUN_DATE))
-    now = dt.datetime(2000, 1, 1)
+    now = dt.datetime(2002, 1, 1)
     row = runlog.control_row(metrics, now, now, "customers.csv")
     return row.drop("job_start_time", "job_end_time")
 
@@ -195,7 +195,7 @@ def scd2_rows_as_of(t: Inputs):
 
 
 @query("""
-    SELECT client_id, claim_id, DATE '2000-01-01' AS effective_date,
+    SELECT client_id, claim_id, DATE '2002-01-01' AS effective_date,
            '9999-12-31' AS termination_date, status, first_status, segment FROM stage
 """)
 def scd2_bootstrap(t: Inputs):

@@ -47,7 +47,7 @@ class RunLog:
         if error is None:
             self._job_row(COMPLETE)
         else:
-            self._job_row(ERROR, f"{self.script} failed with error {error}"[:2000])
+            self._job_row(ERROR, f"{self.script} failed with error {error}")
         return False
 
     def step(self, description: str, row_count: int | None = None, phase: str = "end") -> None:

@@ -9,6 +9,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +44,9 @@ class Versioned:
 
     def compared_columns(self, target: DataFrame, stage: DataFrame) -> list[str]:
         if self.compared is not None:
-            return [c for c in self.compared if c in stage.columns]
+            if lost := [c for c in self.compared if c not in stage.columns]:
+                raise ValueError(f"the stage lacks compared columns {lost}")
+            return list(self.compared)
         skip = {*self.keys, *self.dates(), *self.uncompared}
         return [c for c in target.columns if c in stage.columns and c not in skip]
 
@@ -124,6 +128,10 @@ def compare(
         *[F.col(k).alias(f"__a_{k}") for k in spec.keys],
         F.struct(*[staged_value(c) for c in target.columns]).alias("after"),
     )
+    # NULL keys match nothing; kept out of the join, they are no hot key of it
+    def keyed(side: str) -> Column:
+        return reduce(and_, [F.col(f"{side}_{k}").isNotNull() for k in spec.keys])
+
     same_key = [F.col(f"__b_{k}") == F.col(f"__a_{k}") for k in spec.keys]
     pairs = [
         (F.col(f"before.{c}"), F.col(f"after.{c}")) for c in spec.compared_columns(target, stage)
@@ -134,9 +142,11 @@ def compare(
         .when(any_differs(pairs, spec.null_safe), UPDATE)
         .otherwise(NO_CHANGE)
     )
-    return before.join(after, same_key, "full_outer").select(
-        action.alias("action"), "before", "after"
+    joined = before.where(keyed("__b")).join(after.where(keyed("__a")), same_key, "full_outer")
+    alone = before.where(~keyed("__b")).unionByName(
+        after.where(~keyed("__a")), allowMissingColumns=True
     )
+    return joined.unionByName(alone).select(action.alias("action"), "before", "after")
 
 
 def versions(
@@ -203,15 +213,23 @@ def change_types(compared: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def change_metrics(compared: DataFrame) -> DataFrame:
-    """One row of counts; a change type that does not occur counts 0."""
+def change_metrics(
+    compared: DataFrame, keys: Sequence[str] = (), rejected: int = 0
+) -> DataFrame:
+    """One row of counts; a change type that does not occur counts 0.
+
+    With ``keys``, open rows with a NULL key, which no load closes, are no deletions.
+    ``rejected`` rows of the source that were set aside count as source rows.
+    """
+    closable = reduce(and_, [F.col(f"before.{k}").isNotNull() for k in keys], F.lit(True))
+
     def count(name: str) -> Column:
         return F.count_if(F.col("action") == name)
 
     return compared.agg(
-        F.count_if(F.col("action") != DELETE).alias("source_count"),
+        (F.count_if(F.col("action") != DELETE) + F.lit(rejected)).alias("source_count"),
         count(INSERT).alias("insert_count"),
         count(UPDATE).alias("update_count"),
-        count(DELETE).alias("delete_count"),
+        F.count_if((F.col("action") == DELETE) & closable).alias("delete_count"),
         count(NO_CHANGE).alias("no_change_count"),
     )

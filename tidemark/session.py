@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators are planned for. None of them is needed for right results.
@@ -31,7 +29,7 @@ def build_session(app: str = "tidemark", master: str | None = None, **extra: str
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    A machine-local folder is only made up in local mode, where there is one machine.
+    Where none is named it lies in the warehouse, which executors share as well.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -39,9 +37,7 @@ def shared_folder(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+    made = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stored"
     sc.setCheckpointDir(made)
     return made
 
