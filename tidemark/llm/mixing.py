@@ -182,12 +182,15 @@ def rate(p: Column, steps: list[np.ndarray]) -> Column:
 
 
 def fit_rates(
-    rated: DataFrame, targets: np.ndarray, rounds: int = 30, tolerance: float = 1e-6
-) -> list[np.ndarray]:
+    rated: DataFrame, targets: np.ndarray, rounds: int = 30, tolerance: float = 1e-6,
+    least_gain: float = 1 / 3,
+) -> list[np.ndarray]:
     """Steps of the projected gradient over rows with _n and _p.
 
     ``targets`` are shares of the present total. Ends at ``tolerance`` (distance as a share of the
-    total) or after ``rounds``.
+    total), after ``rounds``, or when a round takes off less than ``least_gain`` of the distance:
+    what is left then lies in soft memberships of documents of other domains, and going on would
+    rate those documents down to 0 for it.
     """
     size = len(targets)
     tokens = F.col("_n")
@@ -212,8 +215,11 @@ def fit_rates(
             break
         new = [*steps, size_of_step * (scale @ off)]
         tried = distance(new)
-        if np.linalg.norm(tried) < np.linalg.norm(off):
+        left = np.linalg.norm(tried) / np.linalg.norm(off)
+        if left < 1:
             steps, off = new, tried
+            if left > 1 - least_gain:
+                break
         else:
             size_of_step /= 2
     return steps
