@@ -5,7 +5,8 @@ from __future__ import annotations
 import contextlib
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 from pathlib import Path
 
 import numpy as np
@@ -38,15 +39,41 @@ def step_settings(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+# Tables stored since the innermost ``stored_alone`` began; None outside of one.
+_ON_THE_WAY: ContextVar[list[str] | None] = ContextVar("on_the_way", default=None)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: lineage is cut there."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    if (passed := _ON_THE_WAY.get()) is not None:
+        passed.append(path)
     with step_settings(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_alone(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The frame that ``make`` returns, stored; tables stored on the way to it are removed after that.
+
+    They are this call's own (their names are drawn anew for each), and the frame returned reads
+    none of them, so executors lost later cost nothing that they held.
+    """
+    passed: list[str] = []
+    outer = _ON_THE_WAY.set(passed)
+    try:
+        df = make()
+        _ON_THE_WAY.reset(outer)
+        return stored(df, name)
+    finally:
+        if _ON_THE_WAY.get() is passed:
+            _ON_THE_WAY.reset(outer)
+        for path in passed:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def importable(spark: SparkSession) -> None:
     """Python workers find this package where the driver does, if that folder is there too."""
     root = str(Path(__file__).resolve().parents[2])

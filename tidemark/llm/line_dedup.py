@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import one_text_each, stored
+from tidemark.llm.common import one_text_each, stored, stored_alone
 
 
 def patience(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
@@ -147,7 +147,8 @@ def without_common_blocks(
     Columns of these names in ``docs`` are replaced.
     """
     texts = one_text_each(docs.select(F.col(id_column).alias("id"), "text"))
-    gone = stored(deleted_lines(texts, **options), "deleted-lines").select(
+    found = stored_alone(docs.sparkSession, lambda: deleted_lines(texts, **options), "deleted-lines")
+    gone = found.select(
         F.col("id").alias("_id"), F.col("sig").alias("_sig"), F.col("gone").alias("_gone")
     )
     same = (F.col(id_column) == F.col("_id")) & (F.xxhash64("text") == F.col("_sig"))

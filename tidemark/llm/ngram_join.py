@@ -39,6 +39,7 @@ from tidemark.llm.common import (
     slices,
     small,
     stored,
+    stored_alone,
     text_bytes,
     word_spans,
 )
@@ -456,24 +457,28 @@ def linked_documents(
 
     Documents link when 100 * intersection >= ``percent`` * union of their shingle sets.
     """
-    texts = one_text_each(docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")))
+    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    found = stored_alone(docs.sparkSession, lambda: linked_sets(one_text_each(texts), width, percent), "linked-sets")
+    return found.select(F.col("id").alias(id_column), "n_shingles", "component_id")
+
+
+def linked_sets(texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Of texts with distinct ids: id, n_shingles, component_id."""
+    spark = texts.sparkSession
     sets = stored(described(texts, width, percent), "described-sets")
     reps = stored(sets.where("n > 0").groupBy("digest").agg(F.min("id").alias("rep")), "set-digests")
     member = sets.select("id", "n", "digest").join(reps, "digest", "left")
     member = member.select("id", "n", F.coalesce("rep", "id").alias("rep"))
     rep_ids = reps.select(F.col("rep").alias("id"))
-    classes = stored(
-        sets.where("prefix is not null").join(rep_ids, "id", "left_semi").drop("digest"), "class-sets"
-    )
-    links = links_of(classes, texts, width, percent)
-    united = components(links, "set-classes").withColumnRenamed("node", "rep")
-    return (
-        member.join(united, "rep", "left")
-        .select(
-            F.col("id").alias(id_column),
-            F.col("n").alias("n_shingles"),
-            F.coalesce("component", "rep").alias("component_id"),
-        )
+
+    def united() -> DataFrame:
+        classes = sets.where("prefix is not null").join(rep_ids, "id", "left_semi").drop("digest")
+        links = links_of(stored(classes, "class-sets"), texts, width, percent)
+        return components(links, "set-classes").withColumnRenamed("node", "rep")
+
+    comps = stored_alone(spark, united, "set-components")
+    return member.join(comps, "rep", "left").select(
+        "id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id")
     )
 
 
