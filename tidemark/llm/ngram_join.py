@@ -6,7 +6,9 @@
    shingle's sets with size and position. Lists are cut by bands of size, and every set is compared
    with the first of its list and band (a star, never all pairs). Links found unite sets.
 3. Only lists that still hold sets of several components are read again, sorted by position in
-   blocks; block pairs that no link fits by size, position or component are skipped whole.
+   blocks; block pairs that no link fits by size, position or component are skipped whole. The first
+   rounds ask the few pairs of smallest hash of each component only, so components that many
+   links join become one before all pairs that are left are asked in the last round.
 4. The answers of a star's centre are computed first; bounds from the overlap with the centre
    decide most pairs of its members, and the rest is verified.
 
@@ -49,6 +51,8 @@ IS_WORD = np.ones(256, bool)
 IS_WORD[[32, 9, 10, 11, 12, 13]] = False
 STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 LIST_BLOCK = 512
+# Pairs that a component asks from a list in each round; the last round asks all.
+ASKED = (4, 16, None)
 
 
 def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
@@ -253,10 +257,28 @@ def run_pairs(token: np.ndarray, size, place, comp, percent: int):
         apart += 1
 
 
-def list_pairs(lists: DataFrame, percent: int) -> DataFrame:
+def first_pairs(u: np.ndarray, v: np.ndarray, comp: np.ndarray, key: np.ndarray, most: int):
+    """Of pairs (u, v), those among the ``most`` of smallest hash of one of their components.
+
+    The hash depends on the two sets alone, so lists with the same sets choose the same pairs.
+    """
+    with np.errstate(over="ignore"):
+        turn = mixed(np.minimum(key[u], key[v]) * STEPS[0] + np.maximum(key[u], key[v]) * STEPS[1])
+    pair = np.tile(np.arange(len(u)), 2)
+    owner = np.r_[comp[u], comp[v]]
+    order = np.lexsort((np.tile(turn, 2), owner))
+    owner = owner[order]
+    begin = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+    rank = np.arange(len(owner)) - np.repeat(begin, np.diff(np.r_[begin, len(owner)]))
+    chosen = np.unique(pair[order[rank < most]])
+    return u[chosen], v[chosen]
+
+
+def list_pairs(lists: DataFrame, percent: int, most: int | None) -> DataFrame:
     """Candidate pairs (a, b, their sizes) of lists that hold several components.
 
-    Pairs that differ too much by their bitmaps do not leave the task.
+    Pairs that differ too much by their bitmaps do not leave the task; with ``most``, only so many
+    of each component do.
     """
     kind = lists.schema["id"].dataType.simpleString()
 
@@ -269,26 +291,33 @@ def list_pairs(lists: DataFrame, percent: int) -> DataFrame:
         _, at = np.unique(code, return_index=True)
         size = n[at]
         bits = [(len(x) * 8, int.from_bytes(x, "little")) for x in whole.column("bits").take(at).to_pylist()]
+        key = np.asarray(whole.column("key"), dtype=np.int64)[at].view(np.uint64)
+        own = comp[at]
         done: np.ndarray = np.zeros(0, np.int64)
+        few: tuple[np.ndarray, np.ndarray] = (done, done)
         for u, v in run_pairs(token, n, place, comp, percent):
             u, v = code[u], code[v]
             new = np.setdiff1d(np.minimum(u, v) * len(ids) + np.maximum(u, v), done)
             done = np.union1d(done, new) if len(done) < 1 << 20 else new
             u, v = new // len(ids), new % len(ids)
-            most = size[u] + size[v] - 2 * required(size[u], size[v], percent)
+            limit = size[u] + size[v] - 2 * required(size[u], size[v], percent)
             apart = np.array([bitmap_difference(bits[i], bits[j]) for i, j in zip(u, v, strict=True)], np.int64)
-            u, v = u[apart <= most], v[apart <= most]
-            if len(u):
-                a, b = ids.take(pa.array(u)), ids.take(pa.array(v))
-                less = pa.compute.less(a, b)
-                n_a, n_b = pa.array(size[u]), pa.array(size[v])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.compute.if_else(less, x, y)
-                        for x, y in ((a, b), (b, a), (n_a, n_b), (n_b, n_a))
-                    ],
-                    ["a", "b", "n_a", "n_b"],
-                )
+            u, v = u[apart <= limit], v[apart <= limit]
+            if most is None:
+                yield from named(ids, size, u, v)
+            elif len(u):
+                few = first_pairs(np.r_[few[0], u], np.r_[few[1], v], own, key, most)
+        yield from named(ids, size, *few)
+
+    def named(ids: pa.Array, size: np.ndarray, u: np.ndarray, v: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(u):
+            a, b = ids.take(pa.array(u)), ids.take(pa.array(v))
+            less = pa.compute.less(a, b)
+            n_a, n_b = pa.array(size[u]), pa.array(size[v])
+            yield pa.RecordBatch.from_arrays(
+                [pa.compute.if_else(less, x, y) for x, y in ((a, b), (b, a), (n_a, n_b), (n_b, n_a))],
+                ["a", "b", "n_a", "n_b"],
+            )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -309,7 +338,7 @@ def list_pairs(lists: DataFrame, percent: int) -> DataFrame:
             yield from pairs(held)
 
     return (
-        lists.select("token", "id", "n", "place", "comp", "bits")
+        lists.select("token", "id", "n", "place", "comp", "bits", F.xxhash64("id").alias("key"))
         .repartition("token")
         .sortWithinPartitions("token", "place", "id")
         .mapInArrow(search, f"a {kind}, b {kind}, n_a long, n_b long")
@@ -388,35 +417,41 @@ def links_of(classes: DataFrame, texts: DataFrame, width: int, percent: int) ->
     )
     near = stored(with_bitmaps(star, classes, percent), "star-pairs")
     known = stored(overlaps(near, texts, width), "star-overlaps")
-    linked = F.col("common") >= required_column("n_a", "n_b", percent)
-    found = known.where(linked).select("a", "b")
-    comps = components(found, "sets").withColumnRenamed("node", "id")
-    labelled = lists.join(comps, "id", "left").withColumn("comp", F.coalesce("component", "id"))
-    several = (
-        labelled.groupBy("token")
-        .agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
-        .where("x <> y")
-        .select("token")
-    )
-    rest = (
-        labelled.drop("component")
-        .join(several, "token", "left_semi")
-        .join(classes.select("id", "bits"), "id")
-    )
-    asked = (
-        list_pairs(rest, percent)
-        .join(known.select("a", "b"), ["a", "b"], "left_anti")
-        .join(known.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-    )
-    pairs = stored(asked, "rest-pairs")
+    linked = known.where(F.col("common") >= required_column("n_a", "n_b", percent))
     # answers of a star's centre stand for its members: |b & a| lies between bounds of |b & centre|
     centres = (
-        known.where(linked)
-        .groupBy(F.col("b").alias("a"))
+        linked.groupBy(F.col("b").alias("a"))
         .agg(F.max(F.struct("common", F.col("a").alias("centre"), F.col("n_a").alias("n_centre"))).alias("c"))
         .select("a", "c.*")
         .withColumnRenamed("common", "with_centre")
     )
+    found = linked.select("a", "b")
+    asked = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    for most in ASKED:
+        comps = components(found, "sets").withColumnRenamed("node", "id")
+        labelled = lists.select("token", "id", "n", "place").join(comps, "id", "left")
+        labelled = labelled.withColumn("comp", F.coalesce("component", "id")).drop("component")
+        several = (
+            labelled.groupBy("token")
+            .agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
+            .where("x <> y")
+            .select("token")
+        )
+        # components only grow, so the lists of a round are among those of the round before
+        lists = stored(labelled.join(several, "token", "left_semi"), "rest-lists")
+        described_lists = lists.join(classes.select("id", "bits"), "id")
+        wanted = list_pairs(described_lists, percent, most).join(asked, ["a", "b"], "left_anti")
+        pairs = stored(wanted, "rest-pairs")
+        if pairs.isEmpty():
+            continue
+        links = answered(pairs, centres, texts, width, percent)
+        found = stored(found.unionByName(links), "set-links")
+        asked = asked.unionByName(pairs.select("a", "b"))
+    return found
+
+
+def answered(pairs: DataFrame, centres: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link, by the answers of the centre of a where its bounds decide."""
     placed = (
         pairs.join(centres, "a", "left")
         .withColumn("centre", F.coalesce("centre", "a"))
@@ -436,10 +471,7 @@ def links_of(classes: DataFrame, texts: DataFrame, width: int, percent: int) ->
     bounded = stored(bounded, "bounded-pairs")
     open_pairs = bounded.where("maybe and not surely").select("a", "b", "n_a", "n_b")
     verified = overlaps(open_pairs, texts, width).where(F.col("common") >= need)
-    return stored(
-        found.unionByName(bounded.where("surely").select("a", "b")).unionByName(verified.select("a", "b")),
-        "set-links",
-    )
+    return bounded.where("surely").select("a", "b").unionByName(verified.select("a", "b"))
 
 
 def required_column(a: str, b: str, percent: int):
