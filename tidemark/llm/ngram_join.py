@@ -416,7 +416,8 @@ def links_of(classes: DataFrame, texts: DataFrame, width: int, percent: int) ->
         .distinct()
     )
     near = stored(with_bitmaps(star, classes, percent), "star-pairs")
-    known = stored(overlaps(near, texts, width), "star-overlaps")
+    spark = classes.sparkSession
+    known = stored_alone(spark, lambda: overlaps(near, texts, width), "star-overlaps")
     linked = known.where(F.col("common") >= required_column("n_a", "n_b", percent))
     # answers of a star's centre stand for its members: |b & a| lies between bounds of |b & centre|
     centres = (
@@ -428,7 +429,7 @@ def links_of(classes: DataFrame, texts: DataFrame, width: int, percent: int) ->
     found = linked.select("a", "b")
     asked = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     for most in ASKED:
-        comps = components(found, "sets").withColumnRenamed("node", "id")
+        comps = stored_alone(spark, lambda: components(found, "sets"), "components").withColumnRenamed("node", "id")  # noqa: B023
         labelled = lists.select("token", "id", "n", "place").join(comps, "id", "left")
         labelled = labelled.withColumn("comp", F.coalesce("component", "id")).drop("component")
         several = (
@@ -444,8 +445,8 @@ def links_of(classes: DataFrame, texts: DataFrame, width: int, percent: int) ->
         pairs = stored(wanted, "rest-pairs")
         if pairs.isEmpty():
             continue
-        links = answered(pairs, centres, texts, width, percent)
-        found = stored(found.unionByName(links), "set-links")
+        links = stored_alone(spark, lambda: answered(pairs, centres, texts, width, percent), "set-links")  # noqa: B023
+        found = found.unionByName(links)
         asked = asked.unionByName(pairs.select("a", "b"))
     return found
 
@@ -459,9 +460,8 @@ def answered(pairs: DataFrame, centres: DataFrame, texts: DataFrame, width: int,
         .withColumn("with_centre", F.coalesce("with_centre", "n_a"))
     )
     placed = stored(placed, "placed-pairs")
-    answers = stored(
-        overlaps(placed.select(F.col("centre").alias("a"), "b").distinct(), texts, width), "centre-answers"
-    )
+    asked = placed.select(F.col("centre").alias("a"), "b").distinct()
+    answers = stored_alone(pairs.sparkSession, lambda: overlaps(asked, texts, width), "centre-answers")
     need = required_column("n_a", "n_b", percent)
     bounded = placed.join(answers.withColumnRenamed("a", "centre"), ["centre", "b"]).select(
         "a", "b", "n_a", "n_b",
