@@ -213,6 +213,40 @@ def test_line_dedup_against_all_pairs(spark, copies):
     assert kept.columns == copies.columns and {200, 201, 202, 203} <= {r.doc_id for r in kept.collect()}
 
 
+def brute_line_dedup(docs, least=100):
+    """Lines that any two documents have in aligned blocks, all pairs compared."""
+    split = {i: [x.strip(" ") for x in t.split("\n")] for i, t in docs.items()}
+    gone = defaultdict(set)
+    for b in docs:
+        for a in docs:
+            if a < b:
+                gone[b] |= set(line_dedup.common_blocks(split[a], split[b], [len(x) for x in split[b]], least))
+    return {i: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i]) for i, t in docs.items()}
+
+
+def test_blocks_of_frequent_lines_with_other_first_documents(spark):
+    line_a, line_b = prose("a", 12), prose("b", 12)
+    docs = {0: line_a, 1: line_b} | {i: f"{line_a}\n{line_b}" for i in range(2, 11)}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    found = {r.doc_id: r.text for r in line_dedup.without_common_blocks(df).collect()}
+    assert found == brute_line_dedup(docs)
+    assert found[2] == docs[2] and all(found[i] == "" for i in range(3, 11))
+
+
+def test_line_dedup_defaults_against_all_pairs(spark):
+    pick = random.Random(12)
+    pool = [prose(("line", k), pick.randrange(5, 30)) for k in range(14)] + [""]
+    blocks = [[pick.choice(pool) for _ in range(pick.randrange(1, 5))] for _ in range(6)]
+    docs = {}
+    for i in range(150):  # blocks in any order, repeated too, with own lines between
+        parts = [pick.choice(blocks) + [prose((i, k), 8)] * pick.randrange(2) for k in range(pick.randrange(1, 5))]
+        docs[i] = "\n".join(x for p in parts for x in p)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    found = {r.doc_id: r.text for r in line_dedup.without_common_blocks(df).collect()}
+    assert found == brute_line_dedup(docs)
+    assert sum(found[i] != docs[i] for i in docs) > 50
+
+
 def test_mixing_meets_targets(spark):
     good, bad = prose("g", 40).split(), prose("b", 40).split()
     pick = random.Random(4)

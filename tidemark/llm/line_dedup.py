@@ -1,12 +1,17 @@
 """Line dedup by pairwise alignment: common blocks of lines are deleted from the later document.
 
-Lines are compared by a hash of their trimmed text. Documents that share a line of at least
-``min_line`` characters are overlap partners: every two of them where the line is rare (in at most
-``rare`` documents), and each with the first of them where it is not, so a line in any number of
-documents gives partners in proportion, and every line that an earlier document has is found. Two
-partners are aligned by patience diff (lines unique in both are anchors, the longest increasing
-run of anchors holds, neighbours that agree extend it, the gaps are aligned alike). Aligned runs of
-lines with at least ``min_block`` characters are deleted from the document of the larger id.
+Lines are compared by a hash of their trimmed text. Aligned runs of lines with at least
+``min_block`` characters are deleted from the document of the larger id, so partners are documents
+that share a run of consecutive lines of that size: of the runs from each line, and of those up to
+each line, the shortest that reach ``min_block``, where they hold a line of at least ``min_line``
+characters. Every line of a common block lies in such a run that is within the block. Documents that
+share a run are partners: every two where it is rare (in at most ``rare`` documents), and each with
+the first of them where it is not, so a run in any number of documents gives partners in proportion.
+A frequent run that is left in a document after that, because the first one has it in another place
+of the order or not as often, makes all earlier documents with it partners (equal ones once), so the
+result is that of all pairs. Two partners are aligned by patience diff (lines unique in both are
+anchors, the longest increasing run of anchors holds, neighbours that agree extend it, the gaps are
+aligned alike).
 
 Defined results: null texts stay null, empty ones empty; a text whose lines are all deleted is empty.
 Lines repeated within one document stay. Documents are ordered by id; rows that share an id are
@@ -22,10 +27,11 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import one_text_each, stored, stored_alone
+from tidemark.llm.common import Rolling, mixed, one_text_each, stored, stored_alone
 
 
 def patience(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
@@ -94,18 +100,74 @@ def lines(texts: DataFrame) -> DataFrame:
     )
 
 
-def partners(held: DataFrame, min_line: int, rare: int) -> DataFrame:
-    """Pairs of documents that share a line: a (earlier), b."""
-    long_lines = F.filter(F.arrays_zip("h", "chars"), lambda x: x["chars"] >= min_line)
-    rows = held.select("id", F.explode(F.array_distinct(F.transform(long_lines, lambda x: x["h"]))).alias("line"))
-    shared = rows.groupBy("line").agg(F.count("*").alias("held"), F.min("id").alias("home")).where("held > 1")
-    found = stored(rows.join(shared, "line"), "shared-lines")
+def shortest_runs(chars: np.ndarray, offsets: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """Of each document (its lines begin at ``offsets``), runs of lines that reach ``least`` characters.
+
+    From each line, and up to each line, the shortest. Returns documents, begins and ends.
+    """
+    sums = np.concatenate([[0], np.cumsum(chars)])
+    at = np.arange(len(chars))
+    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    after = np.searchsorted(sums, sums[at] + least, "left")
+    before = np.searchsorted(sums, sums[at + 1] - least, "right") - 1
+    forth, back = after <= offsets[doc + 1], before >= offsets[doc]
+    begins = np.concatenate([at[forth], before[back]])
+    ends = np.concatenate([after[forth], at[back] + 1])
+    begins, ends = np.unique(np.stack([begins, ends]), axis=1)
+    return doc[begins], begins, ends
+
+
+def run_hashes(h: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of runs of lines, from the lines' hashes."""
+    with np.errstate(over="ignore"):
+        powers, inverses = (
+            np.cumprod(np.full(len(h), b, np.uint64)) for b in (Rolling.BASE, pow(Rolling.BASE, -1, 2**64))
+        )
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(h.view(np.uint64)) * powers)])
+        return mixed((sums[ends] - sums[begins]) * inverses[begins]).view(np.int64)
+
+
+def runs(held: DataFrame, min_line: int, min_block: int) -> DataFrame:
+    """Runs that documents may share: id, seq (of all its lines), run (its hash), first (in the document), begin, end."""
+    kind = held.schema["id"].dataType.simpleString()
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h, chars = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("h", "chars"))
+            sizes = pc.list_value_length(batch.column("h")).to_numpy(zero_copy_only=False)
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+            doc, begins, ends = shortest_runs(chars.astype(np.int64), offsets, min_block)
+            long_lines = np.concatenate([[0], np.cumsum(chars >= min_line)])
+            kept = long_lines[ends] > long_lines[begins]
+            doc, begins, ends = doc[kept], begins[kept], ends[kept]
+            run = run_hashes(h.astype(np.int64), begins, ends)
+            first = np.zeros(len(run), bool)
+            first[np.unique(np.stack([doc, run]), axis=1, return_index=True)[1]] = True
+            ids = batch.select(["id", "seq"]).take(pa.array(doc))
+            at = [pa.array((x - offsets[doc]).astype(np.int32)) for x in (begins, ends)]
+            yield pa.RecordBatch.from_arrays(
+                [*ids.columns, pa.array(run), pa.array(first), *at], ["id", "seq", "run", "first", "begin", "end"]
+            )
+
+    rows = held.select("id", F.xxhash64("h").alias("seq"), "h", "chars")
+    return rows.mapInArrow(find, f"id {kind}, seq long, run long, first boolean, begin int, end int")
+
+
+def shared_runs(held: DataFrame, min_line: int, min_block: int) -> DataFrame:
+    """Of ``runs`` those in several documents, with held (how many) and home (the first of them)."""
+    rows = stored(runs(held, min_line, min_block), "runs")
+    shared = rows.where("first").groupBy("run").agg(F.count("*").alias("held"), F.min("id").alias("home"))
+    return stored(rows.join(shared.where("held > 1"), "run"), "shared-runs")
+
+
+def partners(found: DataFrame, rare: int) -> DataFrame:
+    """Pairs of documents that share a run: a (earlier), b."""
     often = found.where((F.col("held") > rare) & (F.col("id") > F.col("home"))).select(
         F.col("home").alias("a"), F.col("id").alias("b")
     )
     few = (
         found.where(F.col("held") <= rare)
-        .groupBy("line")
+        .groupBy("run")
         .agg(F.array_sort(F.collect_set("id")).alias("ids"))  # ``rare`` ids at most
         .select("ids", F.posexplode("ids").alias("at", "b"))
         .select(F.explode(F.slice("ids", F.lit(1), F.col("at"))).alias("a"), "b")
@@ -113,12 +175,28 @@ def partners(held: DataFrame, min_line: int, rare: int) -> DataFrame:
     return often.unionByName(few).distinct()
 
 
-def deleted_lines(
-    texts: DataFrame, min_line: int = 20, min_block: int = 100, rare: int = 8
-) -> DataFrame:
-    """Per document that loses lines: id, sig, gone (their numbers from 0)."""
-    held = stored(lines(texts), "lines")
-    pairs = stored(partners(held, min_line, rare), "partners")
+def runs_left(found: DataFrame, gone: DataFrame, rare: int) -> DataFrame:
+    """Frequent runs of which a line is left in a document after the first: run, b."""
+    often = found.where((F.col("held") > rare) & (F.col("id") > F.col("home")))
+    there = F.expr("exists(sequence(begin, end - 1), x -> not array_contains(gone, x))")
+    return (
+        often.join(gone.select("id", "gone"), "id", "left")
+        .where(F.col("gone").isNull() | there)
+        .select("run", F.col("id").alias("b"))
+        .distinct()
+    )
+
+
+def other_partners(found: DataFrame, left: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Pairs beside ``pairs`` of a document and those before it, equal ones once, with a run it has left."""
+    holders = found.join(left.select("run").distinct(), "run", "left_semi")
+    holders = holders.groupBy("run", "seq").agg(F.min("id").alias("a")).drop("seq")
+    both = left.join(holders, "run").where("a < b").select("a", "b").distinct()
+    return both.join(pairs, ["a", "b"], "left_anti")
+
+
+def aligned_lines(held: DataFrame, pairs: DataFrame, min_block: int) -> DataFrame:
+    """Per document that loses lines by ``pairs``: id, sig, gone (their numbers from 0)."""
     joined = pairs.join(held.select(F.col("id").alias("a"), F.col("h").alias("h_a")), "a").join(
         held.select(F.col("id").alias("b"), "sig", "h", "chars"), "b"
     )
@@ -139,6 +217,22 @@ def deleted_lines(
     return aligned.groupBy("id", "sig").agg(F.collect_set("line").alias("gone"))
 
 
+def deleted_lines(
+    texts: DataFrame, min_line: int = 20, min_block: int = 100, rare: int = 8
+) -> DataFrame:
+    """Per document that loses lines: id, sig, gone (their numbers from 0)."""
+    held = stored(lines(texts), "lines")
+    found = shared_runs(held, min_line, min_block)
+    pairs = stored(partners(found, rare), "partners")
+    gone = stored(aligned_lines(held, pairs, min_block), "aligned")
+    left = stored(runs_left(found, gone, rare), "runs-left")
+    if left.isEmpty():
+        return gone
+    more = aligned_lines(held, stored(other_partners(found, left, pairs), "other-partners"), min_block)
+    both = gone.unionByName(more).groupBy("id", "sig").agg(F.collect_list("gone").alias("gone"))
+    return both.withColumn("gone", F.array_distinct(F.flatten("gone")))
+
+
 def without_common_blocks(
     docs: DataFrame, id_column: str = "doc_id", counts: tuple[str, str] = ("n_lines", "n_removed"), **options
 ) -> DataFrame:
