@@ -247,6 +247,17 @@ def test_line_dedup_defaults_against_all_pairs(spark):
     assert sum(found[i] != docs[i] for i in docs) > 50
 
 
+def test_line_dedup_of_short_lines(spark):
+    verse = [prose(("verse", k), 3) for k in range(12)]
+    docs = {i: "\n".join([prose((i, 0), 3), *verse, prose((i, 1), 3)]) for i in range(12)}
+    docs |= {20: "\n".join(verse), 21: "\n".join(verse[:7]), 22: "\n".join(verse[4:9] + verse[:7])}
+    assert all(len(x) < 20 for t in docs.values() for x in t.split("\n"))
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    found = {r.doc_id: r.text for r in line_dedup.without_common_blocks(df).collect()}
+    assert found == brute_line_dedup(docs)
+    assert found[20] == "" and all(found[i].count("\n") == 1 for i in range(1, 12))
+
+
 def test_mixing_meets_targets(spark):
     good, bad = prose("g", 40).split(), prose("b", 40).split()
     pick = random.Random(4)

@@ -3,10 +3,10 @@
 Lines are compared by a hash of their trimmed text. Aligned runs of lines with at least
 ``min_block`` characters are deleted from the document of the larger id, so partners are documents
 that share a run of consecutive lines of that size: of the runs from each line, and of those up to
-each line, the shortest that reach ``min_block``, where they hold a line of at least ``min_line``
-characters. Every line of a common block lies in such a run that is within the block. Documents that
-share a run are partners: every two where it is rare (in at most ``rare`` documents), and each with
-the first of them where it is not, so a run in any number of documents gives partners in proportion.
+each line, the shortest that reach ``min_block``, however short their lines. Every line of a common
+block lies in such a run that is within the block. Documents that share a run are partners: every
+two where it is rare (in at most ``rare`` documents), and each with the first of them where it is
+not, so a run in any number of documents gives partners in proportion.
 A frequent run that is left in a document after that, because the first one has it in another place
 of the order or not as often, makes all earlier documents with it partners (equal ones once), so the
 result is that of all pairs. Two partners are aligned by patience diff (lines unique in both are
@@ -127,7 +127,7 @@ def run_hashes(h: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarra
         return mixed((sums[ends] - sums[begins]) * inverses[begins]).view(np.int64)
 
 
-def runs(held: DataFrame, min_line: int, min_block: int) -> DataFrame:
+def runs(held: DataFrame, min_block: int) -> DataFrame:
     """Runs that documents may share: id, seq (of all its lines), run (its hash), first (in the document), begin, end."""
     kind = held.schema["id"].dataType.simpleString()
 
@@ -137,9 +137,6 @@ def runs(held: DataFrame, min_line: int, min_block: int) -> DataFrame:
             sizes = pc.list_value_length(batch.column("h")).to_numpy(zero_copy_only=False)
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
             doc, begins, ends = shortest_runs(chars.astype(np.int64), offsets, min_block)
-            long_lines = np.concatenate([[0], np.cumsum(chars >= min_line)])
-            kept = long_lines[ends] > long_lines[begins]
-            doc, begins, ends = doc[kept], begins[kept], ends[kept]
             run = run_hashes(h.astype(np.int64), begins, ends)
             first = np.zeros(len(run), bool)
             first[np.unique(np.stack([doc, run]), axis=1, return_index=True)[1]] = True
@@ -153,9 +150,9 @@ def runs(held: DataFrame, min_line: int, min_block: int) -> DataFrame:
     return rows.mapInArrow(find, f"id {kind}, seq long, run long, first boolean, begin int, end int")
 
 
-def shared_runs(held: DataFrame, min_line: int, min_block: int) -> DataFrame:
+def shared_runs(held: DataFrame, min_block: int) -> DataFrame:
     """Of ``runs`` those in several documents, with held (how many) and home (the first of them)."""
-    rows = stored(runs(held, min_line, min_block), "runs")
+    rows = stored(runs(held, min_block), "runs")
     shared = rows.where("first").groupBy("run").agg(F.count("*").alias("held"), F.min("id").alias("home"))
     return stored(rows.join(shared.where("held > 1"), "run"), "shared-runs")
 
@@ -217,12 +214,10 @@ def aligned_lines(held: DataFrame, pairs: DataFrame, min_block: int) -> DataFram
     return aligned.groupBy("id", "sig").agg(F.collect_set("line").alias("gone"))
 
 
-def deleted_lines(
-    texts: DataFrame, min_line: int = 20, min_block: int = 100, rare: int = 8
-) -> DataFrame:
+def deleted_lines(texts: DataFrame, min_block: int = 100, rare: int = 8) -> DataFrame:
     """Per document that loses lines: id, sig, gone (their numbers from 0)."""
     held = stored(lines(texts), "lines")
-    found = shared_runs(held, min_line, min_block)
+    found = shared_runs(held, min_block)
     pairs = stored(partners(found, rare), "partners")
     gone = stored(aligned_lines(held, pairs, min_block), "aligned")
     left = stored(runs_left(found, gone, rare), "runs-left")
