@@ -291,6 +291,37 @@ def test_projected_rates_by_brute_force(spark):
     assert np.linalg.norm(after) < 0.3 * np.linalg.norm(before)
 
 
+def least_squares(p, n, targets, rounds=200_000):
+    """Rates >= 0 of the least distance of totals from ``targets``: accelerated projected gradient."""
+    a = (p * (n / n.sum())[:, None]).T
+    step = 1 / np.linalg.norm(a, 2) ** 2
+    r, y, k = np.ones(len(n)), np.ones(len(n)), 1.0
+    for _ in range(rounds):
+        new = np.maximum(0, y - step * (a.T @ (a @ y - targets)))
+        if (y - new) @ (new - r) > 0:
+            k = 1.0
+        after = (1 + np.sqrt(1 + 4 * k * k)) / 2
+        y, r, k = new + (k - 1) / after * (new - r), new, after
+        if np.linalg.norm(a @ r - targets) < 1e-9:
+            break
+    return r
+
+
+@pytest.mark.parametrize("targets", [[0.7, 0.18, 0.1, 0.02], [0.6, 0.3, 0.09, 0.01], [0.999, 0.001, 0.0, 0.0]])
+def test_rates_are_the_least_squares_optimum(spark, targets):
+    pick = np.random.default_rng(6)
+    p, n = pick.dirichlet([2, 0.6, 0.3, 0.1], 300), pick.integers(1, 500, 300)
+    df = spark.createDataFrame([(int(k), [float(x) for x in q]) for k, q in zip(n, p, strict=True)], "_n long, _p array<double>")
+    (m,) = mixing.fit_rates(df, np.array(targets))
+    off = (np.maximum(0, 1 - p @ m) * n) @ p / n.sum() - targets
+    # at the optimum the rates' own gradient vanishes: m is the distance over the ridge
+    assert np.allclose(off, 1e-6 * m, atol=1e-8)
+    plain, share = least_squares(p, n, np.array(targets)), n / n.sum()
+    least = np.linalg.norm((plain * share) @ p - targets)
+    assert off @ off <= least**2 + 1e-6 * share @ (plain - 1) ** 2
+    assert least > 1e-4 or np.linalg.norm(off) < 1e-4
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = corpus_pipeline.run(spark, SF)

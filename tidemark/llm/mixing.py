@@ -3,10 +3,13 @@
 A softmax regression, trained on at most ``rows_per_domain`` labelled rows of each domain, gives
 every document its posterior over the domains of the label table (a domain is a pair of quality
 and toxic). Document rates r >= 0 then minimise the squared distance of the expected domain totals
-sum(r * tokens * posterior) from the targets by projected gradient: a round computes the totals over
-all documents in one aggregation, and the step is scaled by the domains' Gram matrix. A document's
-rate follows from its posterior and the few step vectors so far, so rates are never stored in
-between. Tokens are runs of characters other than ASCII white space.
+sum(r * tokens * posterior) from the targets, as shares of all tokens, plus ``ridge`` times the mean
+of (r - 1) ** 2 by tokens. Of rates that meet the targets alike these are the ones nearest to 1, so
+documents keep a rate as far as the targets allow; targets out of reach are met as nearly as least
+squares can. At the optimum r = max(0, 1 - posterior . m) with one number in m for each domain,
+namely (totals - targets) / ridge. So m is sought by Newton steps: a round computes the totals and the
+Gram matrix of the documents with a rate in one aggregation, and rates are never stored in between.
+Tokens are runs of characters other than ASCII white space.
 
 Defined results: null and empty texts have no tokens, a posterior from no evidence, and the rate
 their posterior gives. Without labelled rows there is one domain ``all``. Label rows with a null are
@@ -16,6 +19,7 @@ one, repeated ones alike. An empty table gives no rows. Other columns are carrie
 
 from __future__ import annotations
 
+import logging
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,6 +32,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import LOWER, Rolling, slices, stored, text_bytes, word_spans
 
+log = logging.getLogger(__name__)
 IS_TOKEN = np.ones(256, bool)
 IS_TOKEN[[32, 9, 10, 11, 12, 13]] = False
 IS_WORD = np.zeros(256, bool)
@@ -181,48 +186,67 @@ def rate(p: Column, steps: list[np.ndarray]) -> Column:
     return F.aggregate(taken, F.lit(1.0), lambda r, s: F.greatest(F.lit(0.0), r - dot(s)))
 
 
+@dataclass
+class Sums:
+    """Over all documents, as shares of all tokens: totals by domain, the rest of those with a rate."""
+
+    totals: np.ndarray
+    gram: np.ndarray  # of the posteriors
+    squares: float  # of the rates
+
+
+def rated_sums(rated: DataFrame, steps: list[np.ndarray], size: int) -> Sums | None:
+    """The sums of rows with _n and _p at the rates after ``steps``; None without tokens."""
+    n, p, r = F.col("_n"), F.col("_p"), F.col("_r")
+    pairs = [(i, j) for i in range(size) for j in range(i + 1)]
+    found = rated.select("_n", "_p", rate(F.col("_p"), steps).alias("_r")).agg(
+        F.sum(n),
+        F.sum(n * r * r),
+        *[F.sum(n * r * p[i]) for i in range(size)],
+        *[F.sum(F.when(r > 0, n * p[i] * p[j]).otherwise(0.0)) for i, j in pairs],
+    )
+    total, squares, *rest = found.first()
+    if not total:
+        return None
+    gram = np.zeros((size, size))
+    for (i, j), x in zip(pairs, rest[size:], strict=True):
+        gram[i, j] = gram[j, i] = x / total
+    return Sums(np.array(rest[:size], float) / total, gram, squares / total)
+
+
 def fit_rates(
-    rated: DataFrame, targets: np.ndarray, rounds: int = 30, tolerance: float = 1e-6,
-    least_gain: float = 1 / 3,
-) -> list[np.ndarray]:
-    """Steps of the projected gradient over rows with _n and _p.
-
-    ``targets`` are shares of the present total. Ends at ``tolerance`` (distance as a share of the
-    total), after ``rounds``, or when a round takes off less than ``least_gain`` of the distance:
-    what is left then lies in soft memberships of documents of other domains, and going on would
-    rate those documents down to 0 for it.
+    rated: DataFrame, targets: np.ndarray, rounds: int = 100, tolerance: float = 1e-9, ridge: float = 1e-6
+) -> list[np.ndarray]:
+    """The step that leads from rates of 1 to the optimum, over rows with _n and _p.
+
+    ``targets`` are shares of the present total. Ends when the gradient's norm is at ``tolerance``,
+    which bounds the projected gradient of every document's rate, or where sums of doubles show no
+    descent any more. The totals reached are logged.
     """
     size = len(targets)
-    tokens = F.col("_n")
-    cells = [F.sum(tokens * F.col("_p")[i] * F.col("_p")[j]) for i in range(size) for j in range(size)]
-    total, *gram = rated.agg(F.sum(tokens), *cells).first()
-    if not total:
+    at = np.zeros(size)
+    now = rated_sums(rated, [at], size)
+    if now is None:
         return []
-    gram = np.array(gram, float).reshape(size, size) / total
-    scale = np.linalg.inv(gram + 1e-6 * np.eye(size))
-
-    def distance(steps: list[np.ndarray]) -> np.ndarray:
-        r = rate(F.col("_p"), steps)
-        sums = rated.select("_n", "_p", r.alias("r")).agg(
-            *[F.sum(tokens * F.col("r") * F.col("_p")[i]) for i in range(size)]
-        )
-        return np.array(sums.first(), float) / total - targets
-
-    steps: list[np.ndarray] = []
-    off, size_of_step = distance(steps), 1.0
+    value = lambda m, sums: (ridge * m @ m + sums.squares) / 2 + m @ targets
+    slope = lambda m, sums: ridge * m - (sums.totals - targets)
+    share = 1.0
     for _ in range(rounds):
-        if np.linalg.norm(off) < tolerance or size_of_step < 1e-3:
+        g = slope(at, now)
+        if np.linalg.norm(g) <= tolerance or share < 1e-6:
             break
-        new = [*steps, size_of_step * (scale @ off)]
-        tried = distance(new)
-        left = np.linalg.norm(tried) / np.linalg.norm(off)
-        if left < 1:
-            steps, off = new, tried
-            if left > 1 - least_gain:
-                break
+        way = -np.linalg.solve(now.gram + ridge * np.eye(size), g)
+        m = at + share * way
+        tried = rated_sums(rated, [m], size)
+        less = value(m, tried) <= value(at, now) + 1e-4 * share * (g @ way)
+        if less or np.linalg.norm(slope(m, tried)) < np.linalg.norm(g) / 2:
+            at, now, share = m, tried, 1.0
         else:
-            size_of_step /= 2
-    return steps
+            share /= 2
+    else:
+        log.warning("the mixing rates did not settle in %s rounds", rounds)
+    log.info("mixing totals %s for targets %s", now.totals.tolist(), list(targets))
+    return [at]
 
 
 def mixed_rates(
