@@ -276,6 +276,19 @@ def test_mixing_meets_targets(spark):
     assert mixing.mixed_rates(docs.limit(0), labels).collect() == []
 
 
+def test_mixing_learns_from_whole_texts_that_are_there(spark):
+    same = prose("same", 1000)  # 4999 characters
+    rows = [(i, f"{same} {prose(('own', i % 2), 40)} {prose(i, 5)}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(4000)], "doc_id long, quality int, toxic int")
+    sample, sizes = mixing.labelled_sample(docs, labels, 80)
+    assert sizes == {"q1t0": 100, "q1t1": 100}
+    assert Counter(d for d, _ in sample) == {"q1t0": 80, "q1t1": 80}
+    assert {t for _, t in sample} <= {t for _, t in rows}
+    found = mixing.mixed_rates(docs, labels, rows_per_domain=80).collect()
+    assert all(r.domain == f"q1t{r.doc_id % 2}" for r in found)
+
+
 def test_projected_rates_by_brute_force(spark):
     pick = np.random.default_rng(9)
     p, n = pick.dirichlet([0.3, 0.3, 0.3], 60), pick.integers(1, 100, 60)

@@ -37,7 +37,6 @@ IS_TOKEN = np.ones(256, bool)
 IS_TOKEN[[32, 9, 10, 11, 12, 13]] = False
 IS_WORD = np.zeros(256, bool)
 IS_WORD[48:58] = IS_WORD[97:123] = IS_WORD[128:] = True
-SAMPLE_CHARS = 4000  # of a labelled row, for learning only
 # Shares of the mixture: toxic, else poor, else good text.
 TOXIC, POOR = 0.02, 0.1
 
@@ -55,6 +54,12 @@ def counted(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return tokens, shares, row, Rolling(data).ranges(begins, ends)
 
 
+def parts(texts: pa.Array) -> Iterator[pa.Array]:
+    """``texts`` in runs of bounded size."""
+    for part in slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text"):
+        yield part.column("text")
+
+
 @dataclass
 class Model:
     domains: list[str]
@@ -85,10 +90,14 @@ class Model:
 
 def telling_words(texts: pa.Array, label: np.ndarray, domains: int, most: int) -> np.ndarray:
     """The words, in three texts at least, whose presence depends most on the domain (chi squared)."""
-    *_, row, hashes = counted(texts)
-    if not len(hashes):
-        return hashes
-    pairs = np.unique(np.rec.fromarrays([hashes, row], names="word,row"))
+    held, begin = [], 0
+    for part in parts(texts):
+        *_, row, hashes = counted(part)
+        held.append(np.unique(np.rec.fromarrays([hashes, row + begin], names="word,row")))
+        begin += len(part)
+    pairs = np.concatenate(held) if held else np.zeros(0, [("word", np.uint64), ("row", np.int64)])
+    if not len(pairs):
+        return pairs["word"]
     found, number = np.unique(pairs["word"], return_inverse=True)
     seen = np.bincount(number * domains + label[pairs["row"]], minlength=len(found) * domains)
     seen = seen.reshape(-1, domains)
@@ -108,7 +117,7 @@ def fit(
     texts = pa.array([t for _, t in rows], pa.large_string())
     label = np.array([domains.index(d) for d, _ in rows], np.int64)
     model = Model(domains, telling_words(texts, label, len(domains), words), np.zeros((0, 0)))
-    x, _ = model.features(texts)
+    x = np.concatenate([model.features(part)[0] for part in parts(texts)] or [model.features(texts)[0]])
     y = np.array([[float(d == k) for k in domains] for d, _ in rows], np.float32).reshape(len(rows), len(domains))
     w = np.zeros((x.shape[1], len(domains)), np.float32)
     spread = x.std(axis=0) + 1e-3 if len(rows) else np.ones(x.shape[1])
@@ -128,23 +137,28 @@ def fit(
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows_per_domain: int):
-    """At most ``rows_per_domain`` labelled texts of each domain, by hash of the id; all its rows."""
+    """``rows_per_domain`` labelled texts of each domain, or all it has, by hash of the id; all its rows.
+
+    Only rows of ``docs`` count, and their texts are whole.
+    """
     domain = F.concat(F.lit("q"), F.col("quality"), F.lit("t"), F.col("toxic"))
     known = labels.select("doc_id", domain.alias("domain")).where("doc_id is not null and domain is not null")
     known = known.groupBy("doc_id").agg(F.min("domain").alias("domain"))
-    rows = docs.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text")).where("text is not null")
-    counts = known.groupBy("domain").agg(F.count("*").alias("n"))
+    rows = docs.where("text is not null")
     picked = F.xxhash64("doc_id", F.lit(4))
-    chosen = (
-        known.join(counts, "domain")
-        .where((picked / F.lit(2.0**64) + 0.5) * F.col("n") < rows_per_domain)
-        .select("doc_id", "domain", "n", picked.alias("picked"))
-    )
+    found = rows.select("doc_id").join(known, "doc_id")
+    sizes = {r.domain: r.n for r in found.groupBy("domain").agg(F.count("*").alias("n")).collect()}
+    # some more than are wanted, as the number below a share of the hashes varies
+    most = rows_per_domain + 6 * rows_per_domain**0.5 + 40
+    if not sizes:
+        return [], {}
+    share = F.create_map(*[F.lit(x) for d, n in sizes.items() for x in (d, most / n)])
+    chosen = known.where(picked / F.lit(2.0**64) + 0.5 < share[F.col("domain")])
+    chosen = chosen.withColumn("picked", picked)
     taken: dict[str, list] = {}
-    sizes: dict[str, int] = {}
-    for r in sorted(rows.join(chosen, "doc_id").collect(), key=lambda r: (r.domain, r.picked, r.text)):
+    found = rows.select("doc_id", "text").join(chosen, "doc_id")
+    for r in sorted(found.collect(), key=lambda r: (r.domain, r.picked, r.text)):
         taken.setdefault(r.domain, []).append((r.domain, r.text))
-        sizes[r.domain] = r.n
     return [x for group in taken.values() for x in group[:rows_per_domain]], sizes
 
 
