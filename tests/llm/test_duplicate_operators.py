@@ -82,6 +82,14 @@ def test_ngram_join_is_exact(spark, copies):
     assert sum(k != v[1] for k, v in found.items()) > 30
 
 
+def test_one_of_each_keeps_documents_without_an_id(spark):
+    same = prose("copy", 40)
+    rows = [(None, prose("own", 40)), (None, same), (None, None), (1, same), (2, same), (3, prose(3, 40)), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = Counter(tuple(r) for r in ngram_join.one_of_each(docs).collect())
+    assert kept == Counter(r for r in rows if r[0] != 2)
+
+
 def test_block_pairs_of_long_lists():
     pick = np.random.default_rng(0)
     size, place = pick.integers(20, 60, 1500), np.sort(pick.integers(0, 6, 1500))

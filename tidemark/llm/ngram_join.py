@@ -515,6 +515,9 @@ def linked_sets(texts: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """Documents without those linked with one of a smaller id, directly or by others."""
-    kept = linked_documents(docs, width, percent).where("doc_id = component_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """Documents without those linked with one of a smaller id, directly or by others.
+
+    Documents without an id stay, linked or not: none of them is known to have the larger one.
+    """
+    linked = linked_documents(docs, width, percent).where("doc_id <> component_id").select("doc_id")
+    return docs.join(linked, "doc_id", "left_anti").select(*docs.columns)
