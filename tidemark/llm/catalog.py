@@ -17,6 +17,7 @@ from tidemark.llm import (
     ngram_join,
     suffix_dedup,
     token_counts,
+    url_filters,
 )
 from tidemark.llm.common import documents, importable
 
@@ -76,6 +77,12 @@ def op10_embedding_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dups.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return url_filters.judge_urls(pages, url_filters.ENTRIES).drop("url")
+
+
 def queries() -> dict[str, Query]:
     named = (
         op1_language_id,
@@ -88,9 +95,14 @@ def queries() -> dict[str, Query]:
         op8_suffix_dedup,
         op9_decontaminate,
         op10_embedding_dups,
+        op11_url_filters,
     )
     return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_format": chat.sql(), "op9_decontaminate": decontaminate.sql()}
+    return {
+        "op2_chat_format": chat.sql(),
+        "op9_decontaminate": decontaminate.sql(),
+        "op11_url_filters": url_filters.sql(),
+    }
