@@ -15,6 +15,7 @@ from tidemark.llm import (
     line_dedup,
     mixing,
     ngram_join,
+    spelling,
     suffix_dedup,
     token_counts,
     url_filters,
@@ -83,6 +84,10 @@ def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(pages, url_filters.ENTRIES).drop("url")
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     named = (
         op1_language_id,
@@ -96,6 +101,7 @@ def queries() -> dict[str, Query]:
         op9_decontaminate,
         op10_embedding_dups,
         op11_url_filters,
+        op12_spelling_variants,
     )
     return {f.__name__: f for f in named}
 
