@@ -17,6 +17,7 @@ from tidemark.llm import (
     ngram_join,
     spelling,
     suffix_dedup,
+    token_alignment,
     token_counts,
     url_filters,
 )
@@ -25,10 +26,10 @@ from tidemark.llm.common import documents, importable
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = "piece_bpe_32k.model") -> str:
     import public_tokenizers
 
-    return str(public_tokenizers.path("piece_bpe_32k.model"))
+    return str(public_tokenizers.path(name))
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +89,11 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(documents(spark, sf_dir))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return token_alignment.summary(docs, vocabulary("byte_bpe_50k.json"), vocabulary())
+
+
 def queries() -> dict[str, Query]:
     named = (
         op1_language_id,
@@ -102,6 +108,7 @@ def queries() -> dict[str, Query]:
         op10_embedding_dups,
         op11_url_filters,
         op12_spelling_variants,
+        op13_token_alignment,
     )
     return {f.__name__: f for f in named}
 
