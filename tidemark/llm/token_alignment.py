@@ -29,8 +29,7 @@ import os
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import accumulate, chain
-from typing import NamedTuple
+from itertools import accumulate, chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -39,25 +38,16 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import importable, slices, small, stored, stored_alone
 
-KEPT_PARTS = 200_000
+KEPT_PARTS = 300_000
 MOST_PAIRS = 2_000_000
+B_BITS = 30
+LOW = (1 << 32) - 1
 MARK = "▁"
 SAFE = re.compile(r"(?<=\S) (?=\S)")
 LINK = pa.struct([("a", pa.int32()), ("b", pa.int32()), ("times", pa.int64())])
 GROUPED = "number long, id {}, n_a long, n_b long, n_groups long, groups string, links array<struct<a:int,b:int,times:long>>"
 
 
-class Part(NamedTuple):
-    n_a: int
-    n_b: int
-    n_groups: int
-    groups: str
-    links: tuple[tuple[int, int], ...]
-
-
-NOTHING = Part(0, 0, 0, "", ())
-
-
 def byte_letters() -> dict[str, int]:
     """The letter that byte-level vocabularies write for each byte: printable ones stand for themselves."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -67,13 +57,11 @@ def byte_letters() -> dict[str, int]:
 
 def ends(lengths: Iterable[int]) -> dict[int, int]:
     """Each token's end in bytes, and the number of tokens up to there."""
-    return {end: k for k, end in enumerate(accumulate(lengths), 1)}
+    return dict(zip(accumulate(lengths), count(1)))
 
 
-def common_groups(a_lengths: list[int], b_lengths: list[int]) -> list[tuple[int, int]]:
-    """How many tokens of either side lie before each end that both sides have."""
-    a_ends, b_ends = ends(a_lengths), ends(b_lengths)
-    return [(a_ends[at], b_ends[at]) for at in sorted(a_ends.keys() & b_ends.keys())]
+def common_ends(a_ends: dict[int, int], b_ends: dict[int, int]) -> list[int]:
+    return sorted(a_ends.keys() & b_ends.keys())
 
 
 class Aligner:
@@ -108,42 +96,82 @@ class Aligner:
             and not splitter.get("add_prefix_space", True)
             and not any(re.search(f"[^{MARK}]{MARK}", p) for p in pieces)
         )
-        self.known: dict[str, Part | None] = {}
-
-    def align(self, text: str, a: list[int], b: list[int]) -> Part | None:
-        """One text or part under both vocabularies; None where they don't give its bytes back."""
-        a_bytes, b_bytes = [self.a_bytes[k] for k in a], [self.b_bytes[k] for k in b]
-        if not b"".join(a_bytes) == b"".join(b_bytes) == b" " + text.encode():
-            return None
-        groups, links, a_from, b_from = [], [], 0, 0
-        for a_to, b_to in common_groups(list(map(len, a_bytes)), list(map(len, b_bytes))):
-            groups.append(f"{','.join(map(str, a[a_from:a_to]))}|{','.join(map(str, b[b_from:b_to]))}")
-            links.append((a[a_to - 1], b[b_to - 1]))
-            a_from, b_from = a_to, b_to
-        return Part(len(a), len(b), len(groups), ";".join(groups), tuple(links))
-
-    def encoded(self, texts: list[str]) -> Iterator[Part | None]:
-        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        b = self.b.encode(texts, num_threads=1)
-        return (self.align(t, x.ids, y) for t, x, y in zip(texts, a, b, strict=True))
-
-    def texts(self, texts: list[str]) -> Iterator[tuple[Part, Counter]]:
-        """Sizes and groups of each text, and its links with how often it has them."""
+        self.a_sizes = {k: len(x) for k, x in self.a_bytes.items()}
+        self.b_sizes = [len(x) for x in self.b_bytes]
+        self.a_names = {k: str(k) for k in self.a_bytes}
+        self.b_names = [str(k) for k in range(len(pieces))]
+        self.forget()
+
+    def forget(self) -> None:
+        """Of parts: numbers of A's tokens, B's tokens and groups in one number; groups; links."""
+        self.sizes: dict[str, int] = {"": 0}
+        self.groups: dict[str, str] = {"": ""}
+        self.links: dict[str, list[int]] = {"": []}
+
+    def learn(self, parts: list[str]) -> None:
+        """Encode and align parts one after the other, as one row of tokens."""
+        if not parts:
+            return
+        a = [x.ids for x in self.a.encode_batch_fast([" " + t for t in parts], add_special_tokens=False)]
+        b = self.b.encode(parts, num_threads=1)
+        self.align(parts, a, b)
+
+    def align(self, parts: list[str], a_ids: list[list[int]], b_ids: list[list[int]]) -> None:
+        """Of parts whose bytes the tokens don't give back, None is kept; they are found by halves."""
+        texts = [b" " + p.encode() for p in parts]
+        a, b = list(chain.from_iterable(a_ids)), list(chain.from_iterable(b_ids))
+        a_ends, b_ends = ends([self.a_sizes[k] for k in a]), ends([self.b_sizes[k] for k in b])
+        common = common_ends(a_ends, b_ends)
+        part_ends = list(accumulate(map(len, texts)))
+        whole = b"".join(texts)
+        given = (
+            b"".join([self.a_bytes[k] for k in a]) == whole
+            and b"".join([self.b_bytes[k] for k in b]) == whole
+            and set(part_ends) <= set(common)
+        )
+        if not given:
+            if len(parts) == 1:
+                self.sizes[parts[0]] = None
+                return
+            half = len(parts) // 2
+            self.align(parts[:half], a_ids[:half], b_ids[:half])
+            self.align(parts[half:], a_ids[half:], b_ids[half:])
+            return
+        a_to, b_to = [a_ends[at] for at in common], [b_ends[at] for at in common]
+        links = [a[i - 1] << B_BITS | b[j - 1] for i, j in zip(a_to, b_to, strict=True)]
+        a_names, b_names = [self.a_names[k] for k in a], [self.b_names[k] for k in b]
+        groups = [
+            (a_names[i] if k - i == 1 else ",".join(a_names[i:k])) + "|" + (b_names[j] if m - j == 1 else ",".join(b_names[j:m]))
+            for i, k, j, m in zip([0, *a_to], a_to, [0, *b_to], b_to)
+        ]
+        place = dict(zip(common, count(1)))
+        begin = 0
+        for part, end, own_a, own_b in zip(parts, part_ends, a_ids, b_ids, strict=True):
+            upto = place[end]
+            self.sizes[part] = len(own_a) << 64 | len(own_b) << 32 | upto - begin
+            self.groups[part] = ";".join(groups[begin:upto])
+            self.links[part] = links[begin:upto]
+            begin = upto
+
+    def texts(self, texts: list[str]) -> Iterator[tuple[int, int, int, str, dict[int, int]]]:
+        """Of each text: tokens of A and of B, groups, the groups written out, links and how often it has them."""
         parts = [(SAFE.split(t) if self.parted else [t]) if t else [] for t in texts]
-        if len(self.known) > KEPT_PARTS:
-            self.known.clear()
-        new = list(set(chain.from_iterable(parts)).difference(self.known))
-        self.known.update(zip(new, self.encoded(new), strict=True))
+        if len(self.sizes) > KEPT_PARTS:
+            self.forget()
+        self.learn(list(set(chain.from_iterable(parts)).difference(self.sizes)))
         for text, own in zip(texts, parts, strict=True):
-            held = [self.known[p] for p in own]
-            if None in held:
-                held = [next(self.encoded([text])) or NOTHING]
-            links: Counter = Counter()
-            for part, times in Counter(held).items():
-                for link in part.links:
-                    links[link] += times
-            sizes = (sum(p[k] for p in held) for k in range(3))
-            yield Part(*sizes, ";".join([p.groups for p in held]), ()), links
+            found = Counter(own)
+            if None in map(self.sizes.__getitem__, found):
+                if text not in self.sizes:
+                    self.learn([text])
+                own = [text] if self.sizes[text] is not None else []
+                found = Counter(own)
+            size = sum(map(self.sizes.__getitem__, own))
+            links: dict[int, int] = {}
+            for part, times in found.items():
+                for link in self.links[part]:
+                    links[link] = links.get(link, 0) + times
+            yield size >> 64, size >> 32 & LOW, size & LOW, ";".join(map(self.groups.__getitem__, own)), links
 
 
 _loaded: dict[tuple[str, str], Aligner] = {}
@@ -169,14 +197,15 @@ def align_tokens(
         for batch in batches:
             for part in slices(batch, "text"):
                 found = list(held.texts(part.column("text").fill_null("").to_pylist()))
-                offsets = np.cumsum([0, *(len(links) for _, links in found)], dtype=np.int32)
-                rows = [(*pair, n) for _, links in found for pair, n in links.items()]
-                table = np.array(rows, np.int64).reshape(-1, 3)
+                offsets = np.cumsum([0, *(len(f[4]) for f in found)], dtype=np.int32)
+                pairs = np.fromiter(chain.from_iterable(f[4] for f in found), np.int64, offsets[-1])
+                times = np.fromiter(chain.from_iterable(f[4].values() for f in found), np.int64, offsets[-1])
+                columns = (pairs >> B_BITS, pairs & ((1 << B_BITS) - 1), times)
                 links = pa.StructArray.from_arrays(
-                    [pa.array(table[:, k]).cast(f.type) for k, f in enumerate(LINK)], fields=list(LINK)
+                    [pa.array(c).cast(f.type) for c, f in zip(columns, LINK, strict=True)], fields=list(LINK)
                 )
-                numbers = [pa.array([f[k] for f, _ in found], pa.int64()) for k in range(3)]
-                groups = pa.array([f.groups for f, _ in found], pa.string())
+                numbers = [pa.array([f[k] for f in found], pa.int64()) for k in range(3)]
+                groups = pa.array([f[3] for f in found], pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("number"), part.column("id"), *numbers, groups, pa.ListArray.from_arrays(pa.array(offsets), links)],
                     ["number", "id", "n_a", "n_b", "n_groups", "groups", "links"],
