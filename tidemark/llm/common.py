@@ -5,13 +5,13 @@ from __future__ import annotations
 import contextlib
 import os
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextvars import ContextVar
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -97,11 +97,28 @@ def one_text_each(texts: DataFrame) -> DataFrame:
     return texts.join(repeated, "id", "left_anti").unionByName(merged)
 
 
-def small(df: DataFrame, most: int = 2_000_000) -> DataFrame:
-    """``df`` (ids) for a broadcast join where it has at most ``most`` rows, else as it is."""
+MOST_BROADCAST = 64 << 20
+
+
+def small(df: DataFrame, most: int = 2_000_000, size: Column | None = None) -> DataFrame:
+    """``df`` for a broadcast join, or as it is.
+
+    It is broadcast where it has at most ``most`` rows (ids and numbers) or, with ``size``, the bytes
+    of a row, where these sum up to at most ``MOST_BROADCAST``.
+    """
+    if size is not None:
+        return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= MOST_BROADCAST else df
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def fresh(name: str, taken: Iterable[str]) -> str:
+    """``name``, with as many underscores after it as keep it apart from the names taken."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column one after the other, and the n + 1 offsets of its rows."""
     column = column.cast(pa.large_string()).fill_null("")

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import fresh, small, stored
 
 WORDS = 5
 BETWEEN = r"[^\p{L}\p{N}]+"
@@ -93,7 +93,7 @@ def contained_items(
         )
     )
     candidates = stored(probes.join(sides, "h").select("doc_id", "item").distinct(), "candidates")
-    near = texts.join(candidates.select("doc_id").distinct(), "doc_id", "left_semi")
+    near = texts.join(small(candidates.select("doc_id").distinct()), "doc_id", "left_semi")
     both = (
         shingles(near, ["doc_id"])
         .join(_checked(item_shingles, broadcast_bytes), "shingle")
@@ -116,9 +116,18 @@ def _checked(item_shingles: DataFrame, broadcast_bytes: int) -> DataFrame:
 
 
 def without_items(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """Documents that contain no item."""
-    leaks = contained_items(docs, items, threshold).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    """Documents that contain no item; those without an id are told apart by their texts."""
+    leaks = stored(contained_items(docs, items, threshold).select("doc_id").distinct(), "leaks")
+    kept = docs.join(small(leaks), "doc_id", "left_anti").select(*docs.columns)
+    nameless = docs.where("doc_id is null")
+    if nameless.isEmpty():
+        return kept
+    digest = F.sha2("text", 256)
+    texts = nameless.where("text is not null").select(digest.alias("doc_id"), "text").distinct()
+    found = contained_items(texts, items, threshold).select("doc_id").distinct()
+    found = found.select(F.col("doc_id").alias(name := fresh("digest", docs.columns)))
+    clean = nameless.join(small(found), digest == F.col(name), "left_anti").select(*docs.columns)
+    return kept.where("doc_id is not null").unionByName(clean)
 
 
 def sql(threshold: float = 0.8) -> str:

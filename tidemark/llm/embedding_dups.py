@@ -83,9 +83,13 @@ class Forest:
 
 
 def units(column: pa.Array) -> np.ndarray:
-    """A list column of equal lengths as unit rows in double precision."""
+    """A list column of equal lengths as unit rows in double precision.
+
+    Rows are divided by their largest component first: squares of extreme ones are 0 or infinite.
+    """
     flat = np.asarray(column.flatten(), dtype=np.float64)
     rows = flat.reshape(len(column), -1)
+    rows = rows / np.abs(rows).max(axis=1, initial=0.0, keepdims=True)
     return rows / np.sqrt((rows * rows).sum(axis=1))[:, None]
 
 

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Rolling, mixed, one_text_each, stored, stored_alone
+from tidemark.llm.common import Rolling, fresh, mixed, one_text_each, small, stored, stored_alone
 
 
 def patience(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
@@ -237,25 +237,26 @@ def without_common_blocks(
     """
     texts = one_text_each(docs.select(F.col(id_column).alias("id"), "text"))
     found = stored_alone(docs.sparkSession, lambda: deleted_lines(texts, **options), "deleted-lines")
-    gone = found.select(
-        F.col("id").alias("_id"), F.col("sig").alias("_sig"), F.col("gone").alias("_gone")
-    )
-    same = (F.col(id_column) == F.col("_id")) & (F.xxhash64("text") == F.col("_sig"))
+    id_, sig, gone_ = (fresh(c, docs.columns) for c in ("_id", "_sig", "_gone"))
+    gone = small(found.select(F.col("id").alias(id_), F.col("sig").alias(sig), F.col("gone").alias(gone_)),
+                 size=32 + 4 * F.size(gone_))
+    same = (F.col(id_column) == F.col(id_)) & (F.xxhash64("text") == F.col(sig))
     split = F.split("text", "\n")
-    kept = F.array_join(F.filter(split, lambda _, i: ~F.array_contains("_gone", i)), "\n")
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)
+    kept = F.array_join(F.filter(split, lambda _, i: ~F.array_contains(gone_, i)), "\n")
+    text = F.when(F.col(gone_).isNull(), F.col("text")).otherwise(kept)
     lines_of = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(split))
     return docs.join(gone, same, "left").select(
         *[text.alias(c) if c == "text" else F.col(c) for c in docs.columns if c not in counts],
         lines_of.cast("long").alias(counts[0]),
-        F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone")).cast("long").alias(counts[1]),
+        F.when(F.col(gone_).isNull(), F.lit(0)).otherwise(F.size(gone_)).cast("long").alias(counts[1]),
     )
 
 
 def deduped(docs: DataFrame, **options) -> DataFrame:
     """Documents without common blocks; one that had text and is left without any goes."""
-    out = without_common_blocks(docs, counts=("_lines", "_removed"), **options)
-    return out.where("_removed = 0 or trim(text) <> ''").select(*docs.columns)
+    counts = fresh("_lines", docs.columns), fresh("_removed", docs.columns)
+    out = without_common_blocks(docs, counts=counts, **options)
+    return out.where((F.col(counts[1]) == 0) | (F.trim("text") != "")).select(*docs.columns)
 
 
 def summary(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:

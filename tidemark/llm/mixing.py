@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import LOWER, Rolling, slices, stored, text_bytes, word_spans
+from tidemark.llm.common import LOWER, Rolling, fresh, slices, small, stored, text_bytes, word_spans
 
 log = logging.getLogger(__name__)
 IS_TOKEN = np.ones(256, bool)
@@ -156,7 +156,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows_per_domain: int):
     chosen = known.where(picked / F.lit(2.0**64) + 0.5 < share[F.col("domain")])
     chosen = chosen.withColumn("picked", picked)
     taken: dict[str, list] = {}
-    found = rows.select("doc_id", "text").join(chosen, "doc_id")
+    found = rows.select("doc_id", "text").join(small(chosen), "doc_id")
     for r in sorted(found.collect(), key=lambda r: (r.domain, r.picked, r.text)):
         taken.setdefault(r.domain, []).append((r.domain, r.text))
     return [x for group in taken.values() for x in group[:rows_per_domain]], sizes
@@ -172,10 +172,10 @@ def default_targets(domains: list[str]) -> dict[str, float]:
     return {d: w / sum(weights.values()) for d, w in weights.items()}
 
 
-def memberships(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with _n (tokens) and _p (the posterior, in order of the model's domains)."""
+def memberships(docs: DataFrame, model: Model, names: tuple[str, str] = ("_n", "_p")) -> DataFrame:
+    """``docs`` with tokens and the posterior, in order of the model's domains, as ``names``."""
     carried = docs.columns
-    form = T.StructType(docs.schema.fields[:]).add("_n", "long").add("_p", T.ArrayType(T.DoubleType()))
+    form = T.StructType(docs.schema.fields[:]).add(names[0], "long").add(names[1], T.ArrayType(T.DoubleType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,7 +183,7 @@ def memberships(docs: DataFrame, model: Model) -> DataFrame:
                 p, n = model.posteriors(part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(n, pa.int64()), pa.array(list(p), pa.list_(pa.float64()))],
-                    [*carried, "_n", "_p"],
+                    [*carried, *names],
                 )
 
     return docs.mapInArrow(run, form)
@@ -276,18 +276,21 @@ def mixed_rates(
     made = ("n_tokens", "domain", "posterior", "rate")
     model = fit(*labelled_sample(docs, labels, rows_per_domain))
     wanted = targets or default_targets(model.domains)
-    soft = memberships(docs.select(*[c for c in docs.columns if c not in made]), model)
+    kept = [c for c in docs.columns if c.lower() not in made]
+    names = fresh("_n", kept), fresh("_p", kept)
+    soft = memberships(docs.select(*kept), model, names)
     # posteriors are computed again for the result, which is cheaper than to store texts
     slim = stored(memberships(docs.select("text"), model).select("_n", "_p"), "memberships")
     steps = fit_rates(slim, np.array([wanted.get(d, 0.0) for d in model.domains]))
-    best = F.array_max("_p")
+    tokens, p = (F.col(f"`{c}`") for c in names)
+    best = F.array_max(p)
     domain = F.element_at(
-        F.array(*[F.lit(d) for d in model.domains]), F.array_position("_p", best).cast("int")
+        F.array(*[F.lit(d) for d in model.domains]), F.array_position(p, best).cast("int")
     )
     return soft.select(
-        *[c for c in soft.columns if c not in ("_n", "_p")],
-        F.col("_n").alias("n_tokens"),
+        *[F.col(f"`{c}`") for c in kept],
+        tokens.alias("n_tokens"),
         domain.alias("domain"),
         best.alias("posterior"),
-        rate(F.col("_p"), steps).alias("rate"),
+        rate(p, steps).alias("rate"),
     )

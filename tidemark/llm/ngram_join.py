@@ -520,4 +520,4 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     Documents without an id stay, linked or not: none of them is known to have the larger one.
     """
     linked = linked_documents(docs, width, percent).where("doc_id <> component_id").select("doc_id")
-    return docs.join(linked, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(small(linked), "doc_id", "left_anti").select(*docs.columns)

@@ -16,7 +16,8 @@ suffixes tie. So suffixes are sorted by fingerprints (96 bits) of what they begi
 Removed are all bytes that a tied suffix covers with its first ``length`` bytes, judged on the input.
 
 Defined results: null and empty texts have no bytes; matches never cross rows. Rows that share an id
-are one document with the greatest of their texts. Ids are whole numbers. Other columns take no part.
+are one document with the greatest of their texts, and so are the rows without an id. Ids are whole
+numbers. Other columns take no part.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Rolling, one_text_each, slices, small, stored, text_bytes
@@ -33,6 +34,8 @@ from tidemark.llm.common import Rolling, one_text_each, slices, small, stored, t
 BUCKET_ENTRIES = 1 << 20
 FLUSH_ENTRIES = 1 << 20
 BLOCK_BYTES = 1 << 21
+# Fixed value: stands for a missing id inside of this module, so it is no id of its own.
+NO_ID = -(2**63)
 
 
 def difference_cover(q: int) -> np.ndarray:
@@ -211,7 +214,7 @@ def removed_spans(
     v = q * q + q + 1
     if v >= length:
         raise ValueError("the cover must be shorter than the strings")
-    texts = one_text_each(docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text")))
+    texts = one_text_each(docs.select(number_of(id_column).alias("id"), F.col(text_column).alias("text")))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     places = stored(repeated_cover(texts, length, q, total), "cover")
     blocks = max(1, -(-total // BLOCK_BYTES))
@@ -333,10 +336,16 @@ def removed_spans(
         blocked.groupBy("block")
         .cogroup(answers.groupBy("block"))
         .applyInArrow(remove, "id long, spans array<struct<begin:long,end:long>>, kept binary")
+        .withColumn("id", F.nullif("id", F.lit(NO_ID)))
         .withColumnRenamed("id", id_column)
     )
 
 
+def number_of(id_column: str) -> Column:
+    """The id, and ``NO_ID`` for none: Arrow columns with a null are not read as whole numbers."""
+    return F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID))
+
+
 def _unmarked(keys: np.ndarray) -> np.ndarray:
     plain = keys.copy()
     plain["check"] &= np.uint32(0xFFFFFFFE)
@@ -345,20 +354,20 @@ def _unmarked(keys: np.ndarray) -> np.ndarray:
 
 def summary(docs: DataFrame, removed: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: its id, n_bytes, n_removed, n_spans, kept_sha256."""
-    texts = one_text_each(docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")))
+    texts = one_text_each(docs.select(number_of(id_column).alias("id"), F.col(text_column).alias("text")))
     whole = texts.select(
-        F.col("id").alias(id_column),
+        "id",
         F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("whole_sha256"),
     )
     lost = removed.select(
-        id_column,
+        number_of(id_column).alias("id"),
         F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"]).alias("lost"),
         F.size("spans").cast("long").alias("spans"),
         F.sha2("kept", 256).alias("sha256"),
     )
-    return whole.join(lost, id_column, "left").select(
-        id_column,
+    return whole.join(lost, "id", "left").select(
+        F.nullif("id", F.lit(NO_ID)).alias(id_column),
         "n_bytes",
         F.coalesce("lost", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("spans", F.lit(0)).cast("long").alias("n_spans"),
