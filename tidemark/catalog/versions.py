@@ -19,7 +19,9 @@ DISTINCT = """o.status IS DISTINCT FROM s.status
     OR o.first_status IS DISTINCT FROM s.first_status OR o.segment IS DISTINCT FROM s.segment"""
 
 
-def _load(differs: str, reopen: bool, retire: bool, target="target", stage="stage") -> str:
+def _load(
+    differs: str, reopen: bool, retire: bool, target="target", stage="stage", day="2002-01-01"
+) -> str:
     """The two statements of the load one after the other: close, then insert."""
     gone = f"""EXISTS (SELECT 1 FROM {stage} s WHERE s.client_id = o.client_id
         AND s.claim_id = o.claim_id AND ({differs}))"""
@@ -30,12 +32,12 @@ def _load(differs: str, reopen: bool, retire: bool, target="target", stage="stag
     return f"""
     WITH after_close AS (
       SELECT o.client_id, o.claim_id, o.status, o.first_status, o.segment, o.effective_date,
-             CASE WHEN o.termination_date = '9999-12-31' AND {ends} THEN '2002-01-01'
+             CASE WHEN o.termination_date = '9999-12-31' AND {ends} THEN '{day}'
                   ELSE o.termination_date END AS termination_date
       FROM {target} o)
     SELECT * FROM after_close
     UNION ALL
-    SELECT s.client_id, s.claim_id, s.status, s.first_status, s.segment, DATE '2002-01-01',
+    SELECT s.client_id, s.claim_id, s.status, s.first_status, s.segment, DATE '{day}',
            '9999-12-31'
     FROM {stage} s WHERE NOT EXISTS (SELECT 1 FROM {seen} o WHERE o.client_id = s.client_id
       AND o.claim_id = s.claim_id AND o.termination_date = '9999-12-31')
@@ -132,13 +134,17 @@ def scd2_quarantine(t: Inputs):
     return checks.rows_with_null(t.null_stage, SPEC.keys)
 
 
-CHANGES = f"""
+def _changes(target: str, stage: str) -> str:
+    return f"""
     SELECT s.client_id, s.claim_id,
            CASE WHEN o.client_id IS NULL THEN 'Insert' WHEN {PLAIN} THEN 'Update'
                 ELSE 'NoChange' END AS change_type
-    FROM stage s LEFT JOIN (SELECT * FROM target WHERE termination_date = '9999-12-31') o
+    FROM {stage} s LEFT JOIN (SELECT * FROM {target} WHERE termination_date = '9999-12-31') o
       ON o.client_id = s.client_id AND o.claim_id = s.claim_id
-"""
+    """
+
+
+CHANGES = _changes("target", "stage")
 
 
 @query(CHANGES)
@@ -146,16 +152,20 @@ def scd2_change_types(t: Inputs):
     return scd2.change_types(scd2.compare(t.target, t.stage, SPEC, RUN_DATE), SPEC.keys)
 
 
-METRICS = f"""
+def _metrics(target: str, stage: str) -> str:
+    return f"""
     SELECT count(*) AS source_count,
            count(*) FILTER (change_type = 'Insert') AS insert_count,
            count(*) FILTER (change_type = 'Update') AS update_count,
-           (SELECT count(*) FROM target o WHERE termination_date = '9999-12-31' AND NOT EXISTS
-             (SELECT 1 FROM stage s WHERE s.client_id = o.client_id
+           (SELECT count(*) FROM {target} o WHERE termination_date = '9999-12-31' AND NOT EXISTS
+             (SELECT 1 FROM {stage} s WHERE s.client_id = o.client_id
               AND s.claim_id = o.claim_id)) AS delete_count,
            count(*) FILTER (change_type = 'NoChange') AS no_change_count
-    FROM ({CHANGES})
-"""
+    FROM ({_changes(target, stage)})
+    """
+
+
+METRICS = _metrics("target", "stage")
 
 
 @query(METRICS)

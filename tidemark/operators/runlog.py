@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.sources.tables import align, append, from_rows
+from tidemark.operators.snapshot import start_date
+from tidemark.sources.slices import exists
+from tidemark.sources.tables import align, append, empty_table, from_rows
 
 # Job states.
 RUNNING, COMPLETE, ERROR = "R", "C", "E"
@@ -60,6 +62,56 @@ class RunLog:
             self.rows = row_count
 
 
+class RunRefused(Exception):
+    """Another run of the script and tenant has not ended yet."""
+
+
+def last_runs(jobs: DataFrame, script: str, tenant: str) -> DataFrame:
+    """Each run of a script and tenant: job_id, state (of its last row), began, start_date."""
+    ended = F.max(F.when(F.col("state") != RUNNING, F.col("state")))
+    return (
+        jobs.where((F.col("script") == script) & (F.col("tenant") == tenant))
+        .groupBy("job_id")
+        .agg(
+            F.coalesce(ended, F.lit(RUNNING)).alias("state"),
+            F.min("logged_at").alias("began"),
+            F.min("start_date").alias("start_date"),
+        )
+    )
+
+
+def begin_run(
+    spark: SparkSession,
+    folder: str,
+    script: str,
+    tenant: str,
+    run_type: str,
+    run_date: dt.date,
+    given: dt.date | None = None,
+    stale_after: dt.timedelta = dt.timedelta(hours=12),
+    clock: object = dt.datetime.now,
+) -> tuple[RunLog, dt.date]:
+    """The log of the next run of a script and tenant, and the date its data starts from.
+
+    A run is running until it logs that it completed or failed. A run that is running refuses
+    another one until it is ``stale_after`` old; then it counts as failed and is logged so. An
+    incremental run starts where the last complete one was started, so a run after failed ones
+    takes what they missed. The log is a table and no lock: two runs that begin in the same moment
+    are not kept apart.
+    """
+    path = f"{folder}/jobs"
+    jobs = spark.read.schema(schemas.JOB_LOG).parquet(path) if exists(spark, path) else empty_table(spark, schemas.JOB_LOG)
+    for run in last_runs(jobs, script, tenant).where(F.col("state") == RUNNING).collect():
+        if clock() - run.began < stale_after:
+            raise RunRefused(f"run {run.job_id} of {script} for {tenant} is running since {run.began}")
+        gone = RunLog(spark, folder, run.job_id, script, tenant, run.start_date, clock=clock)
+        gone._job_row(ERROR, f"{script} was given up, running since {run.began}")
+    job_id = (jobs.agg(F.max("job_id")).first()[0] or 0) + 1
+    done = jobs.where((F.col("script") == script) & (F.col("tenant") == tenant) & (F.col("state") == COMPLETE))
+    start = start_date(run_type, done.agg(F.max("start_date")).first()[0], given)
+    return RunLog(spark, folder, job_id, script, tenant, run_date, clock=clock), start
+
+
 def parameters(run_type: str, tenant: str, start: dt.date | None) -> str:
     """The text a step row gives for its parameters."""
     shown = start.isoformat() if start else " NO DATE "

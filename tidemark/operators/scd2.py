@@ -213,10 +213,8 @@ def change_types(compared: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def change_metrics(
-    compared: DataFrame, keys: Sequence[str] = (), rejected: int = 0
-) -> DataFrame:
-    """One row of counts; a change type that does not occur counts 0.
+def metric_columns(keys: Sequence[str] = (), rejected: int = 0) -> list[Column]:
+    """Counts over the rows of ``compare``, for an aggregation or an observation of a write.
 
     With ``keys``, open rows with a NULL key, which no load closes, are no deletions.
     ``rejected`` rows of the source that were set aside count as source rows.
@@ -226,10 +224,17 @@ def change_metrics(
     def count(name: str) -> Column:
         return F.count_if(F.col("action") == name)
 
-    return compared.agg(
+    return [
         (F.count_if(F.col("action") != DELETE) + F.lit(rejected)).alias("source_count"),
         count(INSERT).alias("insert_count"),
         count(UPDATE).alias("update_count"),
         F.count_if((F.col("action") == DELETE) & closable).alias("delete_count"),
         count(NO_CHANGE).alias("no_change_count"),
-    )
+    ]
+
+
+def change_metrics(
+    compared: DataFrame, keys: Sequence[str] = (), rejected: int = 0
+) -> DataFrame:
+    """One row of counts; a change type that does not occur counts 0."""
+    return compared.agg(*metric_columns(keys, rejected))

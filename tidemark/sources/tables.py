@@ -176,7 +176,7 @@ def tenant_slot(tenant: Column, slots: int = TENANT_SLOTS) -> Column:
 def with_layout(df: DataFrame, tenant: str = "tenant", day: str | None = None) -> DataFrame:
     """Partition columns: the tenant's slot and, for dated detail, the month (NULL day: unknown).
 
-    Written with ``partitionBy(*layout_columns(...))``; a tenant and date filter prunes folders.
+    ``slices.write_layout`` writes it, and ``slices.read_layout`` reads only a tenant's and days' folders.
     """
     out = df.withColumn("tenant_slot", tenant_slot(F.col(tenant)))
     if day is None:
