@@ -93,6 +93,16 @@ def test_all_documents_of_a_folder(spark):
 TEXTS = st.text(st.sampled_from("aeth \n\t'sd.,1▁é漢  \x1c🙂<|>") | st.characters(codec="utf-8"), max_size=40)
 
 
+def test_generations_of_known_parts(monkeypatch):
+    monkeypatch.setattr(token_alignment, "KEPT_PARTS", 4)
+    held = token_alignment.Aligner(*paths())
+    texts = ["a b c d e", "a b x y z", "a ▁ b", "a b q r s t", "u v a b"] * 3
+    for text in texts:
+        found = next(held.texts([text]))
+        n_a, n_b, groups, links = plain(text)
+        assert found[:3] == (n_a, n_b, len(groups)) and sum(found[4].values()) == len(links)
+
+
 @settings(max_examples=300, deadline=None)
 @given(TEXTS)
 def test_parts_equal_whole_texts(text):

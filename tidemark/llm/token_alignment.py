@@ -9,7 +9,8 @@ last tokens of a group end together and are linked.
 A single space between two characters that are no white space is a safe boundary where A's splitter
 never takes white space into the token before, and no piece of B holds a space mark after another
 character. Such a part is encoded alone, with the space in front, and its boundary is a common end.
-Parts that are equal are aligned once per worker (a table of at most ``KEPT_PARTS`` of them). A text
+Parts that are equal are aligned once per worker (a table of ``KEPT_PARTS`` of them; when it is full, a
+new one is begun, which takes parts over from the last one as they occur again). A text
 with a part whose tokens do not give its bytes back is encoded once more as a whole, which decides.
 
 How often two ids are linked is counted over the whole corpus, and each document's links then take
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import importable, slices, small, stored, stored_alone
 
-KEPT_PARTS = 300_000
+KEPT_PARTS = 200_000
 MOST_PAIRS = 2_000_000
 B_BITS = 30
 LOW = (1 << 32) - 1
@@ -101,13 +102,28 @@ class Aligner:
         self.a_names = {k: str(k) for k in self.a_bytes}
         self.b_names = [str(k) for k in range(len(pieces))]
         self.forget()
+        self.forget()
 
     def forget(self) -> None:
-        """Of parts: numbers of A's tokens, B's tokens and groups in one number; groups; links."""
+        """Begin a new generation of known parts; what is used again comes over from the last one.
+
+        Of a part: the numbers of A's tokens, B's tokens and groups as one number; groups; links.
+        """
+        self.before = getattr(self, "sizes", {}), getattr(self, "groups", {}), getattr(self, "links", {})
         self.sizes: dict[str, int] = {"": 0}
         self.groups: dict[str, str] = {"": ""}
         self.links: dict[str, list[int]] = {"": []}
 
+    def know(self, parts: set[str]) -> None:
+        """Take over or learn the parts of ``parts`` that this generation does not know."""
+        new = parts.difference(self.sizes)
+        sizes, groups, links = self.before
+        again = new.intersection(sizes)
+        self.sizes.update((p, sizes[p]) for p in again)
+        self.groups.update((p, groups[p]) for p in again if p in groups)
+        self.links.update((p, links[p]) for p in again if p in links)
+        self.learn(list(new.difference(again)))
+
     def learn(self, parts: list[str]) -> None:
         """Encode and align parts one after the other, as one row of tokens."""
         if not parts:
@@ -158,12 +174,11 @@ class Aligner:
         parts = [(SAFE.split(t) if self.parted else [t]) if t else [] for t in texts]
         if len(self.sizes) > KEPT_PARTS:
             self.forget()
-        self.learn(list(set(chain.from_iterable(parts)).difference(self.sizes)))
+        self.know(set(chain.from_iterable(parts)))
         for text, own in zip(texts, parts, strict=True):
             found = Counter(own)
             if None in map(self.sizes.__getitem__, found):
-                if text not in self.sizes:
-                    self.learn([text])
+                self.know({text})
                 own = [text] if self.sizes[text] is not None else []
                 found = Counter(own)
             size = sum(map(self.sizes.__getitem__, own))
