@@ -192,6 +192,49 @@ def _stored(until: str) -> str:
     """
 
 
+# The type-2 target's 31 text columns, of a customer (c) and a row of an extract (e).
+_SURVEY = {
+    "Survey_Designator": "'S' || e.status",
+    "Client_ID": "e.client_id",
+    "Hosp_Service_Code": "substr(e.segment, 1, 3)",
+    "Medical_Rec_No": "c.c_name",
+    "Claim_Id": "e.claim_id",
+    "Race": "nullif(substr(e.claim_id, 1, 1), '4')",
+    "Carrier": "e.segment",
+    "DOB": "CAST(DATE '1950-01-01' + c.c_nationkey AS STRING)",
+    "Gender": "CASE WHEN c.c_acctbal < 0 THEN 'F' WHEN c.c_acctbal < 9000 THEN 'M' END",
+    "Last_Name": "c.c_name",
+    "First_Name": "c.c_mktsegment",
+    "Middle_Name": "CAST(NULL AS STRING)",
+    "Address1": "CAST(c.c_custkey AS STRING) || ' Main St'",
+    "Address2": "CAST(NULL AS STRING)",
+    "City": "'City ' || CAST(c.c_nationkey AS STRING)",
+    "State": "CAST(c.c_nationkey AS STRING)",
+    "Zip": "CAST(10000 + c.c_nationkey AS STRING)",
+    "Discharge_Date": "CAST(NULL AS STRING)",
+    "Discharge_status_id": "e.first_status",
+    "Time_of_arrival": "'0800'",
+    "Pt_type": "e.status",
+    "Nursing_station": "'N' || CAST(c.c_nationkey AS STRING)",
+    "Sub_Group": "lower(e.segment)",
+    "Minor_pt_type": "e.first_status",
+    "Attending_Physician": "'Dr ' || CAST(c.c_nationkey AS STRING)",
+    "Marital_Status": "CAST(NULL AS STRING)",
+    "Patient_Phone_Nbr": "'555-' || CAST(c.c_custkey AS STRING)",
+    "Financial_Class": "substr(c.c_mktsegment, 1, 1)",
+    "Room": "substr(e.claim_id, 3, 2)",
+    "Bed": "e.status",
+}
+
+
+def _surveys(extract: str, file: str) -> str:
+    columns = ",\n           ".join(f"{text} AS {name}" for name, text in _SURVEY.items())
+    return f"""
+    SELECT {columns}, '{file}' AS file_name
+    FROM {{{extract}}} e JOIN {{customer}} c ON CAST(c.c_custkey AS STRING) = e.client_id
+    """
+
+
 FIXTURES = {
     "jobs": """
     SELECT event_id AS run_id, event_type AS application,
@@ -254,7 +297,7 @@ FIXTURES = {
            CASE WHEN o_totalprice NOT BETWEEN 480000 AND 490000 AND o_orderstatus <> 'P'
                 THEN o_orderdate END AS discharged_at,
            CASE WHEN o_totalprice > 495000 THEN 'N' ELSE 'Y' END AS active
-    FROM {ordered} WHERE day < DATE '2001-06-01'
+    FROM {ordered}
     """,
     "diagnoses": """
     SELECT tenant, record_id, nullif(p_type, 'LARGE') AS diagnosis_code,
@@ -297,11 +340,11 @@ FIXTURES = {
            o_orderdate AS added_at, o_orderdate AS modified_at, day + 1 AS extract_date,
            CASE WHEN o_orderstatus = 'F' THEN day WHEN o_orderstatus = 'P' THEN day + 6
                 END AS result_date
-    FROM {ordered} WHERE day < DATE '2001-05-01'
+    FROM {ordered} WHERE o_orderstatus <> 'P' OR o_totalprice >= 60000
     """,
     "known_history": """
     SELECT tenant, record_id, day AS from_date FROM {ordered}
-    WHERE day < DATE '2001-03-01' AND o_orderstatus <> 'P'
+    WHERE o_orderstatus <> 'P'
     """,
     "classes": """
     SELECT * FROM (VALUES ('F', 'I'), ('P', 'I'), ('O', 'O'), ('N', 'N'))
@@ -336,6 +379,47 @@ FIXTURES = {
            nullif(nation_name, 'NATION_1') AS line_2
     FROM {order_facts}
     """,
+    "surveys": _surveys("stage", "second.csv"),
+    "old_surveys": f"""
+    SELECT *, DATE '1999-06-30' AS effective_date, '9999-12-31' AS termination_date
+    FROM ({_surveys("open_extract", "first.csv")}) x
+    """,
+    # Codes and keys written in either case and with trailing blanks.
+    "mixed_charges": """
+    SELECT tenant, record_id, post_date, quantity,
+           CASE WHEN record_id % 2 = 0 THEN lower(item_code) || '  ' ELSE item_code END AS item_code,
+           procedure_code || CASE WHEN record_id % 3 = 0 THEN ' ' ELSE '' END AS procedure_code
+    FROM {charges}
+    """,
+    "mixed_groups": f"""
+    SELECT CASE WHEN family = '{X.F_CHARGE}' THEN upper(source_key) || ' '
+                ELSE lower(source_key) END AS source_key, group_code, family, start_date, end_date
+    FROM {{groups}}
+    """,
+    "mixed_terms": "SELECT lower(source_key) || ' ' AS source_key, term_key FROM {terms}",
+    "mixed_names": """
+    SELECT person_id, lower(name_type) || ' ' AS name_type,
+           CASE WHEN person_id % 2 = 0 THEN lower(family_name) ELSE family_name || ' ' END
+             AS family_name, upper(given_name) AS given_name
+    FROM {names}
+    """,
+    "mixed_stage": """
+    SELECT client_id, lower(claim_id) || ' ' AS claim_id, status, lower(first_status) AS first_status,
+           lower(segment) || '  ' AS segment
+    FROM {stage}
+    """,
+    # Ten columns of the job report.
+    "job_runs": """
+    SELECT event_type AS application, event_type || '-' || CAST(user_id % 4 AS STRING)
+             AS sub_application_name, CAST(user_id % 10 AS STRING) AS folder,
+           event_type || '-' || CAST(user_id AS STRING) AS job_member_name,
+           CASE WHEN event_id % 13 <> 0 THEN ts END AS order_date, ts AS start_time,
+           CASE WHEN value >= 0.5 THEN ts END AS end_time, CAST(floor(value * 20) AS INT) AS runtime,
+           CASE WHEN user_id % 5 <> 0 THEN 'user' || CAST(user_id AS STRING) END AS run_as_user,
+           CASE WHEN event_type = 'error' AND value > 40 THEN 'ended not ok'
+                WHEN value < 0.5 THEN NULL ELSE 'ended ok' END AS completion_status
+    FROM {events}
+    """,
     "stored_days": _stored("2000-03-31"),
     "stored_before": _stored("1999-12-31"),
 }

@@ -17,7 +17,7 @@ from tidemark.operators import fixed as X
 from tidemark.operators import lookup as L
 from tidemark.operators.latest import latest_rows
 from tidemark.operators.snapshot import snapshot_grid
-from tidemark.plans.joins import salted_join
+from tidemark.plans.joins import lookup_join
 
 
 @query(f"""
@@ -73,13 +73,14 @@ def class_kind_lookup(t: Inputs):
 
 @query("""
     SELECT l_orderkey, l_partkey, l_linenumber, p_type, p_brand
-    FROM lineitem LEFT JOIN part ON p_partkey = l_partkey AND p_size <= 25
+    FROM lineitem LEFT JOIN part ON CASE WHEN p_size <= 25 THEN p_partkey END = l_partkey
 """)
 def large_table_lookup(t: Inputs):
-    """A lookup table past the broadcast bound: the salted shuffle join."""
+    """A lookup table past the broadcast bound: the salted shuffle join; large parts have no key."""
     rows = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber")
-    side = t.part.where("p_size <= 25").select("p_partkey", "p_type", "p_brand")
-    return salted_join(rows, side, [("l_partkey", "p_partkey")], salts=8).drop("p_partkey")
+    key = F.when(F.col("p_size") <= 25, F.col("p_partkey")).alias("__part")
+    side = t.part.select(key, "p_type", "p_brand")
+    return lookup_join(rows, side, [("l_partkey", "__part")], salts=8, small=False).drop("__part")
 
 
 @query("""

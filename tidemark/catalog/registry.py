@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.catalog.fixtures import FIXTURES, TABLES
 
-MODULES = ("jobs", "versions", "snapshots", "lookups", "work", "classes", "histories", "storage", "stored")
+MODULES = ("jobs", "versions", "snapshots", "lookups", "work", "classes", "histories", "storage", "stored", "declared")
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 

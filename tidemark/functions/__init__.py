@@ -3,8 +3,11 @@
 from tidemark.functions.dates import as_of, is_month_end, replace_date
 from tidemark.functions.text import (
     any_differs,
+    cased,
+    caseless,
     fold,
-    negated_number,
+    folded,
+    like,
     nth_token,
     text_key,
     value_key,
@@ -14,9 +17,12 @@ from tidemark.functions.text import (
 __all__ = [
     "any_differs",
     "as_of",
+    "cased",
+    "caseless",
     "fold",
+    "folded",
     "is_month_end",
-    "negated_number",
+    "like",
     "nth_token",
     "replace_date",
     "text_key",

@@ -7,13 +7,18 @@ import operator
 import re
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Fixed value: the collation under which case and trailing blanks do not count.
+CASELESS = "UTF8_LCASE_RTRIM"
+BINARY = "UTF8_BINARY"
 
 
 def nth_token(text: Column, delimiters: str, n: int) -> Column:
     """The n-th non-empty token (from 1); NULL past the end."""
-    pieces = F.split(text, "[" + re.escape(delimiters) + "]")
+    pieces = F.split(F.collate(text, BINARY), "[" + re.escape(delimiters) + "]")
     return F.try_element_at(F.filter(pieces, lambda piece: piece != ""), F.lit(n))
 
 
@@ -22,9 +27,44 @@ def fold(text: Column) -> Column:
     return F.upper(F.rtrim(text))
 
 
-def negated_number(text: Column) -> Column:
-    """Text read as a whole number with its sign turned; NULL when it is not a number."""
-    return -text.try_cast("bigint")
+def _collated(df: DataFrame, columns: Sequence[str] | None, collation: str) -> DataFrame:
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    wanted = texts if columns is None else list(columns)
+    if other := [c for c in wanted if c not in texts]:
+        raise ValueError(f"no text columns: {other}")
+    return df.withColumns({c: F.collate(F.col(f"`{c}`"), collation) for c in wanted})
+
+
+def caseless(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Text columns (all, or those named) that compare as in the source system.
+
+    The texts stay as they are, but joins, ``IN``, comparisons with literals, windows and groupings
+    of these columns pass over case and trailing blanks. Both sides of a join must be declared.
+    Grouping by such a column is planned as a sort; ``folded`` keeps hash aggregation.
+    """
+    return _collated(df, columns, CASELESS)
+
+
+def cased(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Back to plain text, for files that know no collations and for readers that compare bytes."""
+    return _collated(df, columns, BINARY)
+
+
+def folded(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The named text columns folded once where they are read: equal texts become the same text."""
+    return df.withColumns({c: fold(F.collate(F.col(f"`{c}`"), BINARY)) for c in columns})
+
+
+def like(df: DataFrame, text: str | Column, pattern: str) -> Column:
+    """``LIKE`` as the text is declared in ``df``: without case where it is caseless.
+
+    Trailing blanks count in both forms, as a pattern speaks of the whole text.
+    """
+    column = F.col(text) if isinstance(text, str) else text
+    kind = df.select(column.alias("text")).schema["text"].dataType
+    if kind.collation == BINARY:
+        return column.like(pattern)
+    return F.collate(column, BINARY).ilike(pattern)
 
 
 def text_key(columns: Iterable[str | Column], null_mark: str = "NA") -> Column:

@@ -131,6 +131,53 @@ def new_items(
     ).select(*columns)
 
 
+def requeue_and_insert(
+    queue: DataFrame,
+    recent: DataFrame,
+    missing: DataFrame,
+    run_date: dt.date,
+    run_ts: dt.datetime,
+    job_id: int,
+    mark: str | None = None,
+) -> DataFrame:
+    """``requeue`` and ``new_items`` in one pass: one full outer join of the queue with its changes.
+
+    A recent key takes its queue row's result date back; a missing record that the queue does not
+    hold becomes a row, one for each of its authorities. A key that the queue holds is not added
+    again, since (tenant, record_id) is its key. ``mark`` names a column that says what happened to
+    the row: ``kept``, ``requeued`` or ``inserted``.
+    """
+    # a struct keeps a NULL authority, which is a row of its own
+    new = missing.select(*KEYS, F.lit(False).alias("__hit"), F.struct("authority").alias("__new"))
+    nothing = F.lit(None).cast(new.schema["__new"].dataType)
+    again = recent.select(*KEYS).distinct().withColumns({"__hit": F.lit(True), "__new": nothing})
+    # a key's set holds its authorities, of which a record has few
+    changes = again.unionByName(new).groupBy(*KEYS).agg(
+        F.max("__hit").alias("__hit"), F.collect_set("__new").alias("__new")
+    )
+    held = queue.withColumn("__held", F.lit(True))
+    joined = held.join(changes, list(KEYS), "full")
+    kept = F.coalesce("__held", F.lit(False))
+    joined = joined.where(kept | (F.size("__new") > 0))
+    each = F.when(kept, F.array(nothing)).otherwise(F.col("__new"))
+    joined = joined.withColumn("__one", F.explode(each))
+    hit = F.coalesce("__hit", F.lit(False))
+    stamped = _stamp(joined, ~kept | hit, F.lit(None).cast("date"), run_ts, job_id)
+    types = dict(queue.dtypes)
+    added = {
+        "authority": F.col("__one.authority"),
+        "added_at": F.lit(run_ts),
+        "extract_date": F.lit(run_date),
+    }
+    out = stamped.withColumns(
+        {c: F.when(kept, F.col(c)).otherwise(v.cast(types[c])) for c, v in added.items()}
+    )
+    if mark is None:
+        return out.select(*queue.columns)
+    what = F.when(~kept, "inserted").when(hit, "requeued").otherwise("kept")
+    return out.select(*queue.columns, what.alias(mark))
+
+
 def mark_done(
     queue: DataFrame, history: DataFrame, run_date: dt.date, run_ts: dt.datetime, job_id: int
 ) -> DataFrame:

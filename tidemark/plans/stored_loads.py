@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from tidemark import schemas
 from tidemark.operators import history as H
 from tidemark.operators import scd2
+from tidemark.operators import workqueue as W
 from tidemark.operators.checks import has_no_null, require_unique, rows_with_null
 from tidemark.operators.latest import latest_rows
 from tidemark.operators.runlog import RunLog, control_row, parameters
@@ -195,3 +196,22 @@ def load_tenant_history(
     if log is not None:
         log.step(text, affected.total)
     return affected
+
+
+def load_queue(
+    spark: SparkSession,
+    path: str,
+    recent: DataFrame,
+    missing: DataFrame,
+    run_date: dt.date,
+    run_ts: dt.datetime,
+    job_id: int,
+) -> dict[str, int]:
+    """The next version of the stored queue, and the rows requeued and inserted as its write saw them."""
+    queue = S.read_version(spark, path)
+    merged = W.requeue_and_insert(queue, recent, missing, run_date, run_ts, job_id, mark="__what")
+    seen = Observation()
+    kinds = ("requeued", "inserted")
+    counted = merged.observe(seen, *[F.count_if(F.col("__what") == k).alias(k) for k in kinds])
+    S.write_version(counted.drop("__what"), path)
+    return {k: int(seen.get[k] or 0) for k in kinds}
