@@ -5,8 +5,9 @@ detections are intervals of bytes; in order of priority, then length, a detectio
 where an accepted one of the same or a higher priority contains it. Places of given phrases are
 found besides and never suppressed.
 
-Defined results: null and empty texts have no words, places or detections. Texts are scanned
-whole; memory grows with the longest text. Repeated rows give repeated results. Other columns of
+Defined results: null and empty texts have no words, places or detections. Of equal intervals of one
+priority the first label is kept. Texts are scanned whole; memory grows with the longest text, time
+with the detections times the logarithm of their number. Repeated rows give repeated results. Other columns of
 the input take no part.
 """
 
@@ -44,15 +45,22 @@ DETECTION = pa.struct(
 
 
 def resolve(found: list[tuple[int, int, int, str]]) -> list[dict]:
-    """Detections (priority, begin, end, label) with the suppressed ones marked."""
-    out: list[dict] = []
-    kept: list[tuple[int, int]] = []
-    for priority, begin, end, label in sorted(set(found), key=lambda d: (d[0], d[1] - d[2], d[1], d[3])):
-        inside = any(b <= begin and end <= e for b, e in kept)
-        if not inside:
-            kept.append((begin, end))
+    """Detections (priority, begin, end, label) with the suppressed ones marked.
+
+    From left to right, longer ones first, what contains a detection comes before it. So one holds
+    it if the furthest end so far among those of its priority or a higher one is not before its own
+    end. One that is suppressed itself lies in an accepted one, so it need not be told apart.
+    """
+    rows = sorted(set(found), key=lambda d: (d[1], -d[2], d[0], d[3]))
+    reach = dict.fromkeys(sorted({d[0] for d in rows}), -1)
+    out = []
+    for priority, begin, end, label in rows:
+        inside = reach[priority] >= end
+        for lower in reach:
+            if lower >= priority:
+                reach[lower] = max(reach[lower], end)
         out.append({"label": label, "priority": priority, "begin": begin, "end": end, "kept": not inside})
-    return out
+    return sorted(out, key=lambda d: (d["priority"], d["begin"] - d["end"], d["begin"], d["label"]))
 
 
 class Gate:
