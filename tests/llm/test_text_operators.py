@@ -1,10 +1,13 @@
 """Language ID, chat formatting, licence scan and token counts."""
 
 import hashlib
+import random
 import re
+import time
 import zlib
 
 import duckdb
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -55,6 +58,61 @@ def test_language_of_odd_rows(spark, odd):
     assert {r.lang_pred for r in language_id.identify(unlabelled).collect()} == {"und"}
 
 
+def brute_kernel(a, b, held):
+    """Shared 1- to 3-grams of two chunks by the root of the product of their numbers."""
+    sets = []
+    for text in (a, b):
+        padded = text.lower() + "\0" * language_id.NGRAM
+        found = {padded[i : i + n] for n in (1, 2, 3) for i in range(len(padded))}
+        sets.append({g for g in found if g in held})
+    return len(sets[0] & sets[1]) / (max(1, len(sets[0])) * max(1, len(sets[1]))) ** 0.5
+
+
+def test_language_kernel_and_map_by_brute_force():
+    rows = [("en", "the cat sat on the mat"), ("en", "the dog and the cat"), ("de", "der hund und die katze"),
+            ("de", "und der kater"), ("en", "a mat on the dog")]
+    model = language_id.fit(rows, landmarks=4)
+    chosen = [t for lang in ("de", "en") for t in [x for la, x in rows if la == lang][:2]]
+    codes = [t.lower() + "\0" * 3 for t in chosen]
+    grams = lambda t: {t[i : i + n] for n in (1, 2, 3) for i in range(len(t))}
+    held = {g for t in codes for g in grams(t) if sum(g in grams(u) for u in codes) >= 2}
+    present, known = language_id.first_chunks(model, [t for _, t in rows])
+    got = model.kernel(present)
+    wanted = [[brute_kernel(t, u, held) for u in chosen] for _, t in rows]
+    assert np.allclose(got, wanted, atol=1e-6)
+    assert all(0 <= k <= 1 for k in known) and model.typical == np.median(known)
+    # Nystroem: with all landmarks' own kernel, mapped landmarks give that kernel back
+    square = np.array([[brute_kernel(t, u, held) for u in chosen] for t in chosen])
+    y = np.array([[1.0 if lang == x else -1.0 for x in ("de", "en")] for lang, _ in rows])
+    values, vectors = np.linalg.eigh(square)
+    good = values > 1e-8 * values.max()
+    mapped = np.array(wanted) @ (vectors[:, good] / np.sqrt(values[good]))
+    assert np.allclose(mapped[[2, 3, 0, 1]] @ mapped[[2, 3, 0, 1]].T, square, atol=1e-5)
+    fitted = np.linalg.solve(mapped.T @ mapped + 1e-3 * len(rows) * np.eye(mapped.shape[1]), mapped.T @ y)
+    assert np.allclose(got @ model.weights, mapped @ fitted, atol=1e-3)
+
+
+def test_language_of_very_long_texts_in_bounded_runs(monkeypatch):
+    rows = [("en", "the cat sat on the mat " * 9), ("de", "der hund und die katze " * 9)]
+    model = language_id.fit(rows)
+    texts = ["the mat and the cat " * 2000, "die katze und der hund " * 1500, "x", "der " * 3000 + "the " * 999]
+    whole = model.predict(texts)
+    monkeypatch.setattr(language_id, "RUN", 3)
+    for a, b in zip(whole, model.predict(texts), strict=True):
+        assert np.allclose(a, b, atol=1e-6)
+
+
+def test_other_languages_and_junk_go(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    letters = docs.where(r"text rlike '\\p{L}'").count()
+    pick = random.Random(1)
+    junk = [" ".join("".join(pick.choices("bcdfghjklmnpqrstvwxz", k=6)) for _ in range(n)) for n in (30, 600)]
+    junk += ["Привет мир, это текст на русском языке. " * n for n in (1, 90)] + ["日本語の文章です。" * 40]
+    rows = spark.createDataFrame([(-i - 1, t, None) for i, t in enumerate(junk)], docs.schema)
+    kept = language_id.known_languages(docs.union(rows)).collect()
+    assert min(r.doc_id for r in kept) >= 0 and len(kept) == letters
+
+
 def test_chat_matches_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{SF}/conversations.parquet'")
@@ -146,6 +204,31 @@ def test_license_rules_and_suppression():
             assert all(g in m for g in rule.gates), rule
 
 
+def brute_resolve(found):
+    """Detections by priority, length, place and label; each against all accepted before it."""
+    kept, out = [], []
+    for d in sorted(set(found), key=lambda d: (d[0], d[1] - d[2], d[1], d[3])):
+        inside = any(b <= d[1] and d[2] <= e for _, b, e, _ in kept)
+        kept += [] if inside else [d]
+        out.append((*d, not inside))
+    return out
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 9), st.integers(1, 6), st.sampled_from("ab")), max_size=12))
+def test_license_suppression_by_brute_force(places):
+    found = [(p, b, b + n, x) for p, b, n, x in places]
+    got = [(d["priority"], d["begin"], d["end"], d["label"], d["kept"]) for d in license_scan.resolve(found)]
+    assert got == brute_resolve(found)
+
+
+def test_license_suppression_of_very_many_places():
+    found = [(i % 4, 10 * i, 10 * i + 8 + i % 5, "x") for i in range(200_000)]
+    began = time.perf_counter()
+    assert len(license_scan.resolve(found)) == len(found)
+    assert time.perf_counter() - began < 20
+
+
 def test_token_counts_match_the_library(spark, odd):
     import sentencepiece
 

@@ -11,8 +11,9 @@ What is learned comes from a sample of at most ``rows_per_language`` labelled ro
 language, one chunk each, picked by hash. Everything else covers all rows.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; without any
-labelled row all are. Equal scores go to the first language by name. Repeated rows are scored
-alike. Rows with a null language teach nothing. Other columns take no part.
+labelled row all are. A text of an unlearned language gets the nearest learned one and a low
+``familiar``. Equal scores go to the first language by name. Long texts are walked in runs of
+``RUN`` chunks. Repeated rows are scored alike. Rows with a null language teach nothing. Other columns take no part.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import slices
 
 NGRAM, CHUNK, TABLE_BITS = 3, 2000, 20
+RUN = 512  # chunks whose presence is held at a time
 UNKNOWN = "und"
 SHARPNESS = 4.0  # of the softmax that makes a score of the regressions' outputs
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -49,6 +51,18 @@ def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(joined, np.uint32), np.array([len(t) for t in low], np.int64)
 
 
+def chunk_starts(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the chunks of ``code_points`` begin, and the end; the text of each chunk.
+
+    The last chunk of a text takes the zeros that follow it.
+    """
+    per_text = np.maximum(1, -(-lengths // CHUNK))
+    text = np.repeat(np.arange(len(lengths)), per_text)
+    begin = np.cumsum(lengths + NGRAM) - (lengths + NGRAM)
+    number = np.arange(len(text)) - (np.cumsum(per_text) - per_text)[text]
+    return np.r_[begin[text] + number * CHUNK, (lengths + NGRAM).sum()], text
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -56,38 +70,53 @@ class Model:
     size: int
     landmarks: np.ndarray  # features x landmarks, normalised presence
     weights: np.ndarray  # landmarks x languages
-
-    def presence(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Presence matrix of all chunks, their lengths, and the text that each belongs to."""
-        codes, lengths = code_points(texts)
-        per_text = np.maximum(1, -(-lengths // CHUNK))
-        text_of_chunk = np.repeat(np.arange(len(texts)), per_text)
-        first_chunk = np.cumsum(per_text) - per_text
-        begin = np.cumsum(lengths + NGRAM) - (lengths + NGRAM)
-        text_of_code = np.repeat(np.arange(len(texts)), lengths + NGRAM)
-        place = np.arange(len(codes)) - begin[text_of_code]
-        chunk = first_chunk[text_of_code] + np.minimum(place // CHUNK, per_text[text_of_code] - 1)
-        present = np.zeros((int(per_text.sum()), self.size + 1), bool)
-        rows = chunk * (self.size + 1)
-        for slot in grams(codes):
-            present.ravel()[rows + self.slots[slot]] = True
-        sizes = np.bincount(chunk, minlength=len(present)) - 0.0
-        return present[:, : self.size], sizes, text_of_chunk
+    typical: float = 1.0  # median share of known n-grams in the sample
+
+    def presence(self, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Presence matrix of the chunks that begin at ``starts``, the last of which is an end.
+
+        Also how many of the longest n-grams that begin in each chunk the dictionary has.
+        """
+        begin, end = int(starts[0]), int(starts[-1])
+        rows = np.repeat(np.arange(len(starts) - 1), np.diff(starts)) * (self.size + 1)
+        present = np.zeros((len(starts) - 1, self.size + 1), bool)
+        # n-grams belong to the chunk they begin in and may reach into the next one
+        for slot in grams(codes[begin : end + NGRAM - 1]):
+            number = self.slots[slot[: end - begin]]
+            present.ravel()[rows + number] = True
+        known = np.add.reduceat((number < self.size).astype(np.int64), starts[:-1] - begin)
+        return present[:, : self.size], known
 
     def kernel(self, present: np.ndarray) -> np.ndarray:
         dense = present.astype(np.float32)
         norm = np.sqrt(np.maximum(1, dense.sum(axis=1)))
         return (dense @ self.landmarks) / norm[:, None]
 
-    def predict(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The number of the best language of every text, and its score."""
-        present, sizes, text = self.presence(texts)
-        scores = (self.kernel(present) @ self.weights).astype(np.float64) * sizes[:, None]
-        starts = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
-        mean = np.add.reduceat(scores, starts) / np.add.reduceat(sizes, starts)[:, None]
+    def predict(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The number of the best language of every text, its score, and how familiar it looks."""
+        codes, lengths = code_points(texts)
+        starts, text = chunk_starts(lengths)
+        sizes = np.diff(starts) - 0.0
+        scores = np.empty((len(text), len(self.languages)))
+        known = np.empty(len(text))
+        for i in range(0, len(text), RUN):
+            present, known[i : i + RUN] = self.presence(codes, starts[i : i + RUN + 1])
+            scores[i : i + RUN] = self.kernel(present) @ self.weights
+        scores *= sizes[:, None]
+        begins = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
+        whole = np.add.reduceat(sizes, begins)
+        mean = np.add.reduceat(scores, begins) / whole[:, None]
         best = mean.argmax(axis=1)
         soft = np.exp(SHARPNESS * (mean - mean.max(axis=1, keepdims=True)))
-        return best, 1.0 / soft.sum(axis=1)
+        return best, 1.0 / soft.sum(axis=1), np.add.reduceat(known, begins) / whole / self.typical
+
+
+def first_chunks(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Presence matrix of the first chunk of every text, and its share of known n-grams."""
+    codes, lengths = code_points([t[:CHUNK] for t in texts])
+    starts = np.cumsum(np.r_[0, lengths + NGRAM])
+    present, known = model.presence(codes, starts)
+    return present, known / np.diff(starts)
 
 
 def fit(
@@ -109,18 +138,17 @@ def fit(
     slots = np.full(1 << TABLE_BITS, len(kept), np.int32)
     slots[kept] = np.arange(len(kept))
     model = Model(languages, slots, len(kept), np.zeros((len(kept), 0), np.float32), np.zeros((0, 0)))
-    present, _, _ = model.presence([t[:CHUNK] for t in chosen])
+    present, _ = first_chunks(model, chosen)
     norms = np.sqrt(np.maximum(1, present.sum(axis=1)))
     model.landmarks = (present / norms[:, None]).T.astype(np.float32)
     values, vectors = np.linalg.eigh(model.kernel(present).astype(np.float64))
     good = values > 1e-8 * max(values.max(), 1e-30)
     nystroem = vectors[:, good] / np.sqrt(values[good])
-    kernel = np.concatenate(
-        [
-            model.kernel(model.presence([t[:CHUNK] for _, t in rows[i : i + 256]])[0])
-            for i in range(0, len(rows), 256)
-        ]
-    )
+    parts = [
+        first_chunks(model, [t for _, t in rows[i : i + 256]]) for i in range(0, len(rows), 256)
+    ]
+    kernel = np.concatenate([model.kernel(present) for present, _ in parts])
+    model.typical = max(float(np.median(np.concatenate([known for _, known in parts]))), 1e-9)
     mapped = kernel.astype(np.float64) @ nystroem
     wanted = np.array([[1.0 if lang == x else -1.0 for x in languages] for lang, _ in rows])
     gram = mapped.T @ mapped + ridge * len(rows) * np.eye(mapped.shape[1])
@@ -145,14 +173,11 @@ def sample(docs: DataFrame, rows_per_language: int, id_column: str = "doc_id") -
             F.lit(CHUNK),
         ).alias("chunk"),
     )
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))
-    share = (F.col("picked") / F.lit(2.0**64)) + 0.5
-    rows = (
-        labelled.join(counts, "lang")
-        .where(share * F.col("n") < rows_per_language)
-        .select("lang", "chunk", "picked")
-        .collect()
-    )
+    sizes = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        return []
+    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, rows_per_language / n)])
+    rows = labelled.where(F.col("picked") / F.lit(2.0**64) + 0.5 < share[F.col("lang")]).collect()
     taken: dict[str, list] = {}
     for r in sorted(rows, key=lambda r: (r.lang, r.picked, r.chunk)):
         taken.setdefault(r.lang, []).append((r.lang, r.chunk))
@@ -166,14 +191,18 @@ def identify(
     id_column: str = "doc_id",
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Per document: its id, the columns of ``keep``, held_out, lang_pred, score."""
+    """Per document: its id, the columns of ``keep``, held_out, lang_pred, score, familiar.
+
+    ``familiar`` is the share of a text's longest n-grams that the dictionary has, over the
+    sample's median: near 1 for texts like the sample, near 0 for other scripts and for junk.
+    """
     model = fit(sample(docs, rows_per_language, id_column), landmarks)
     has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     rows = docs.select(
         id_column, *keep, held_out(id_column).alias("held_out"),
         F.when(has_letter, F.col("text")).alias("_text"),
     )
-    out = rows.drop("_text").schema.add("lang_pred", "string").add("score", "double")
+    out = rows.drop("_text").schema.add("lang_pred", "string").add("score", "double").add("familiar", "double")
     names = out.fieldNames()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,21 +210,27 @@ def identify(
             for part in slices(batch, "_text", 1 << 20):
                 texts = part.column("_text").to_pylist()
                 some = [i for i, t in enumerate(texts) if t is not None] if model else []
-                lang, best = [UNKNOWN] * len(texts), np.zeros(len(texts))
+                lang = [UNKNOWN] * len(texts)
+                best, familiar = np.zeros(len(texts)), np.zeros(len(texts))
                 if some:
-                    number, best[some] = model.predict([texts[i] for i in some])
+                    number, best[some], familiar[some] = model.predict([texts[i] for i in some])
                     for i, k in zip(some, number, strict=True):
                         lang[i] = model.languages[k]
-                kept = [part.column(name) for name in names[:-2]]
+                kept = [part.column(name) for name in names[:-3]]
                 yield pa.RecordBatch.from_arrays(
-                    [*kept, pa.array(lang, pa.string()), pa.array(best)], names
+                    [*kept, pa.array(lang, pa.string()), pa.array(best), pa.array(familiar)], names
                 )
 
     return rows.mapInArrow(score, out)
 
 
-def known_languages(docs: DataFrame, min_score: float = 0.3, **options) -> DataFrame:
-    """Documents in a learned language; those without letters or with a lower score go."""
+def known_languages(docs: DataFrame, least_familiar: float = 0.25, **options) -> DataFrame:
+    """Documents in a learned language; those without letters or less familiar ones go.
+
+    A score says which learned language is nearest, however far it is. So texts of other languages
+    and junk are told by their n-grams, of which the dictionary has but a few.
+    """
     whole = docs.select("doc_id", "text", "lang", F.struct(*docs.columns).alias("_doc"))
     found = identify(whole, keep=("_doc",), **options)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("_doc.*")
+    known = (F.col("lang_pred") != UNKNOWN) & (F.col("familiar") >= least_familiar)
+    return found.where(known).select("_doc.*")
