@@ -13,7 +13,8 @@ language, one chunk each, picked by hash. Everything else covers all rows.
 Defined results: null texts and texts without a letter are ``und`` with score 0; without any
 labelled row all are. A text of an unlearned language gets the nearest learned one and a low
 ``familiar``. Equal scores go to the first language by name. Long texts are walked in runs of
-``RUN`` chunks. Repeated rows are scored alike. Rows with a null language teach nothing. Other columns take no part.
+``RUN`` chunks. Repeated rows are scored alike. Rows with a null language teach nothing. Other
+columns take no part.
 """
 
 from __future__ import annotations
@@ -75,7 +76,8 @@ class Model:
     def presence(self, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Presence matrix of the chunks that begin at ``starts``, the last of which is an end.
 
-        Also how many of the longest n-grams that begin in each chunk the dictionary has.
+        Also, by chunk, how many of the longest n-grams that begin with a letter there are, and how
+        many of them the dictionary has.
         """
         begin, end = int(starts[0]), int(starts[-1])
         rows = np.repeat(np.arange(len(starts) - 1), np.diff(starts)) * (self.size + 1)
@@ -84,8 +86,10 @@ class Model:
         for slot in grams(codes[begin : end + NGRAM - 1]):
             number = self.slots[slot[: end - begin]]
             present.ravel()[rows + number] = True
-        known = np.add.reduceat((number < self.size).astype(np.int64), starts[:-1] - begin)
-        return present[:, : self.size], known
+        here = codes[begin:end]
+        letter = (here >= 128) | ((here >= 97) & (here <= 122))
+        counts = np.stack([letter, letter & (number < self.size)]).astype(np.int64)
+        return present[:, : self.size], np.add.reduceat(counts, starts[:-1] - begin, axis=1)
 
     def kernel(self, present: np.ndarray) -> np.ndarray:
         dense = present.astype(np.float32)
@@ -98,25 +102,25 @@ class Model:
         starts, text = chunk_starts(lengths)
         sizes = np.diff(starts) - 0.0
         scores = np.empty((len(text), len(self.languages)))
-        known = np.empty(len(text))
+        known = np.empty((2, len(text)))
         for i in range(0, len(text), RUN):
-            present, known[i : i + RUN] = self.presence(codes, starts[i : i + RUN + 1])
+            present, known[:, i : i + RUN] = self.presence(codes, starts[i : i + RUN + 1])
             scores[i : i + RUN] = self.kernel(present) @ self.weights
         scores *= sizes[:, None]
         begins = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
-        whole = np.add.reduceat(sizes, begins)
-        mean = np.add.reduceat(scores, begins) / whole[:, None]
+        mean = np.add.reduceat(scores, begins) / np.add.reduceat(sizes, begins)[:, None]
         best = mean.argmax(axis=1)
         soft = np.exp(SHARPNESS * (mean - mean.max(axis=1, keepdims=True)))
-        return best, 1.0 / soft.sum(axis=1), np.add.reduceat(known, begins) / whole / self.typical
+        letters, known = np.add.reduceat(known, begins, axis=1)
+        return best, 1.0 / soft.sum(axis=1), known / np.maximum(1, letters) / self.typical
 
 
 def first_chunks(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Presence matrix of the first chunk of every text, and its share of known n-grams."""
     codes, lengths = code_points([t[:CHUNK] for t in texts])
     starts = np.cumsum(np.r_[0, lengths + NGRAM])
-    present, known = model.presence(codes, starts)
-    return present, known / np.diff(starts)
+    present, (letters, known) = model.presence(codes, starts)
+    return present, known / np.maximum(1, letters)
 
 
 def fit(
@@ -193,8 +197,8 @@ def identify(
 ) -> DataFrame:
     """Per document: its id, the columns of ``keep``, held_out, lang_pred, score, familiar.
 
-    ``familiar`` is the share of a text's longest n-grams that the dictionary has, over the
-    sample's median: near 1 for texts like the sample, near 0 for other scripts and for junk.
+    ``familiar`` is the share of a text's longest n-grams that the dictionary has, of those that
+    begin with a letter, over the sample's median: near 1 for texts like the sample, near 0 for other scripts and for junk.
     """
     model = fit(sample(docs, rows_per_language, id_column), landmarks)
     has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
