@@ -2,7 +2,8 @@
 
 BENCH_SF_DIR   folder of the tables (default /root/testdata/sf0.1)
 BENCH_CPUS     local threads (default 8)
-BENCH_PLAIN=1  also times the plain forms that the rewritten operators replace
+BENCH_PLAIN=1  also times the plain forms that the rewritten operators replace; those that are
+               quadratic, and their rewritten forms, on the tables of BENCH_SMALL_DIR
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import sys
 import time
 
 from tidemark import catalog
-from tidemark.catalog.plain import PLAIN, plain_frame
+from tidemark.catalog.plain import PLAIN, QUADRATIC, plain_frame
 from tidemark.session import build_session
 
 HEADLINE = (
@@ -73,7 +74,17 @@ def main() -> None:
     }
     if os.environ.get("BENCH_PLAIN"):
         line["plain"] = {
-            n: best(f"plain {n}", lambda: plain_frame(n, spark, folder)) for n in PLAIN
+            n: best(f"plain {n}", lambda: plain_frame(n, spark, folder))
+            for n in PLAIN
+            if n not in QUADRATIC
+        }
+        small = os.environ.get("BENCH_SMALL_DIR", "/root/testdata/sf0.01")
+        line["small"] = {
+            n: {
+                "rewritten": best(f"small {n}", lambda: queries[n](spark, small)),
+                "plain": best(f"small plain {n}", lambda: plain_frame(n, spark, small)),
+            }
+            for n in QUADRATIC
         }
     print(json.dumps(line))
     spark.stop()

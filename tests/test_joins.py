@@ -2,8 +2,12 @@ import pytest
 from conftest import as_set
 from pyspark.sql import functions as F
 
+from tidemark.catalog import queries
+from tidemark.catalog.plain import PLAIN, plain_frame
 from tidemark.plans import joins
 
+FOLDER = "/root/testdata/sf0.001"
+
 
 @pytest.fixture
 def sides(spark):
@@ -69,3 +73,11 @@ def test_either_key(spark):
     assert as_set(found) == [("1", "10"), ("2", "20")]
     plan = found._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("name", PLAIN)
+def test_plain_forms_for_the_bench_give_the_same_rows(spark, name):
+    plain, rewritten = plain_frame(name, spark, FOLDER), queries()[name](spark, FOLDER)
+    names = [c for c in rewritten.columns if c in plain.columns]
+    assert len(names) == len(plain.columns) == len(rewritten.columns)
+    assert as_set(plain, *names) == as_set(rewritten, *names)
