@@ -228,13 +228,29 @@ def identify(
     return rows.mapInArrow(score, out)
 
 
-def known_languages(docs: DataFrame, least_familiar: float = 0.25, **options) -> DataFrame:
+def known_languages(
+    docs: DataFrame, least_familiar: float = 0.25, rows_per_language: int = 600, landmarks: int = 192
+) -> DataFrame:
     """Documents in a learned language; those without letters or less familiar ones go.
 
     A score says which learned language is nearest, however far it is. So texts of other languages
     and junk are told by their n-grams, of which the dictionary has but a few.
     """
-    whole = docs.select("doc_id", "text", "lang", F.struct(*docs.columns).alias("_doc"))
-    found = identify(whole, keep=("_doc",), **options)
-    known = (F.col("lang_pred") != UNKNOWN) & (F.col("familiar") >= least_familiar)
-    return found.where(known).select("_doc.*")
+    model = fit(sample(docs, rows_per_language), landmarks)
+    # columns by place, so that each text is sent once and no name can clash
+    places = [f"c{i}" for i in range(len(docs.columns))]
+    text = places[[c.lower() for c in docs.columns].index("text")]
+    rows = docs.select(
+        *[F.col(f"`{c}`").alias(p) for c, p in zip(docs.columns, places, strict=True)],
+        F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"),
+    )
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text, 1 << 20):
+                part = part.filter(part.column("letters")).select(places)
+                if model and len(part):
+                    _, _, familiar = model.predict(part.column(text).to_pylist())
+                    yield part.filter(pa.array(familiar >= least_familiar))
+
+    return rows.mapInArrow(kept, rows.drop("letters").schema).toDF(*docs.columns)
