@@ -7,13 +7,14 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from tidemark.llm import (
     catalog, decontaminate, embedding_dups, line_dedup, mixing, ngram_join, suffix_dedup,
 )
-from tidemark.llm.common import components
+from tidemark.llm.common import components, importable
 
 SF = "/root/testdata/sf0.001"
 
@@ -90,6 +91,17 @@ def test_one_of_each_keeps_documents_without_an_id(spark):
     assert kept == Counter(r for r in rows if r[0] != 2)
 
 
+def test_results_are_written_in_small_arrow_batches(spark):
+    importable(spark)
+    docs = spark.range(6000, numPartitions=1).selectExpr("id doc_id", "repeat('word ', 400) text")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+    assert docs.mapInArrow(sizes, "size long").agg({"size": "max"}).first()[0] < 5 << 20
+
+
 def test_block_pairs_of_long_lists():
     pick = np.random.default_rng(0)
     size, place = pick.integers(20, 60, 1500), np.sort(pick.integers(0, 6, 1500))
