@@ -91,6 +91,51 @@ def test_one_of_each_keeps_documents_without_an_id(spark):
     assert kept == Counter(r for r in rows if r[0] != 2)
 
 
+def listed_by_hand(entries, percent=90):
+    """(token, id) -> (first of list and band, open) of lists with several sets."""
+    lists, out = defaultdict(list), {}
+    for token, i, n, place in entries:
+        lists[token].append((n, i, place, int(np.floor(np.log(n) / np.log(100 / percent)))))
+    for token, rows in lists.items():
+        firsts = {}
+        for n, i, _, band in sorted(rows):
+            firsts.setdefault(band, i)
+        n, place, alone = np.array([r[0] for r in rows]), np.array([r[2] for r in rows]), np.arange(len(rows))
+        u, v = np.triu_indices(len(rows), 1)
+        good = ngram_join.fitting(u, v, n, place, alone, percent)
+        left = [
+            rows[a][3] != rows[b][3] or firsts[rows[a][3]] not in (rows[a][1], rows[b][1])
+            for a, b in zip(u[good], v[good], strict=True)
+        ]
+        if len(rows) > 1:
+            is_open = any(left) or len(rows) > ngram_join.LIST_BLOCK
+            out |= {(token, i): (firsts[band], is_open) for _, i, _, band in rows}
+    return out
+
+
+def test_index_lists_take_one_exchange_and_tell_which_are_open(spark):
+    pick = np.random.default_rng(5)
+    rows, entries = [], []
+    for i in range(900):
+        n = int(pick.integers(20, 60))
+        # one list of most sets, some of a few, and tokens of one set only
+        prefix = [1] if i % 9 else []
+        prefix += [int(x) for x in np.unique(pick.integers(10, 700, 4))] + [10_000 + i]
+        rows.append((i, n, bytearray(np.array(prefix, np.int64).tobytes())))
+        entries += [(token, i, n, place) for place, token in enumerate(prefix)]
+    lists = ngram_join.index_lists(spark.createDataFrame(rows, "id long, n long, prefix binary"), 90)
+    assert lists._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    wanted = listed_by_hand(entries)
+    for size in (10_000, 97):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            found = {(r.token, r.id): (r.first, r.open) for r in lists.collect()}
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert found == wanted
+    assert {o for _, o in wanted.values()} == {True, False}
+
+
 def test_results_are_written_in_small_arrow_batches(spark):
     importable(spark)
     docs = spark.range(6000, numPartitions=1).selectExpr("id doc_id", "repeat('word ', 400) text")

@@ -5,7 +5,8 @@
 2. A set that can link with another shares a shingle of its prefix with it. Index lists hold a
    shingle's sets with size and position. Lists are cut by bands of size, and every set is compared
    with the first of its list and band (a star, never all pairs). Links found unite sets.
-3. Only lists that still hold sets of several components are read again, sorted by position in
+3. Only lists with other pairs that may link by size and position, and with sets of several
+   components, are read again, sorted by position in
    blocks; block pairs that no link fits by size, position or component are skipped whole. The first
    rounds ask the few pairs of smallest hash of each component only, so components that many
    links join become one before all pairs that are left are asked in the last round.
@@ -24,7 +25,9 @@ texts. An empty table gives no rows. Other columns take no part.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +56,7 @@ STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], n
 LIST_BLOCK = 512
 # Pairs that a component asks from a list in each round; the last round asks all.
 ASKED = (4, 16, None)
+MOST_COPIES = 2_000_000
 
 
 def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
@@ -95,7 +99,7 @@ def levels(texts: DataFrame, width: int) -> np.ndarray:
         held = np.minimum(held, 65535).astype(np.uint16).reshape(-1, per_part)
         some = np.flatnonzero(held.any(axis=1))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(some, pa.int32()), pa.array([held[i].tobytes() for i in some], pa.binary())],
+            [pa.array(some, pa.int32()), pa.array([zlib.compress(held[i].tobytes(), 1) for i in some], pa.binary())],
             ["part", "counts"],
         )
 
@@ -105,7 +109,7 @@ def levels(texts: DataFrame, width: int) -> np.ndarray:
             for part, counts in zip(*(batch.column(c).to_pylist() for c in ("part", "counts")), strict=True):
                 if part not in sums:
                     sums[part] = np.zeros(per_part, np.int64)
-                sums[part] += np.frombuffer(counts, np.uint16)
+                sums[part] += np.frombuffer(zlib.decompress(counts), np.uint16)
         log = {k: np.ceil(np.log2(v + 1)).astype(np.uint8).tobytes() for k, v in sums.items()}
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(log), pa.int32()), pa.array(list(log.values()), pa.binary())], ["part", "counts"]
@@ -173,8 +177,13 @@ def described(texts: DataFrame, width: int, percent: int) -> DataFrame:
     return texts.mapInArrow(describe, f"id {kind}, n long, digest binary, prefix binary, bits binary")
 
 
-def index_lists(classes: DataFrame) -> DataFrame:
-    """Entries of the index: token, id, n, place."""
+def index_lists(classes: DataFrame, percent: int) -> DataFrame:
+    """Entries of the lists with several sets: token, id, n, place, first, open.
+
+    ``first`` is the first set of the entry's list and band of sizes. A list is not ``open`` where
+    none of its pairs may link by size and place but those with the first of their band. One
+    exchange brings lists together; they pass in order, and only short ones are held whole.
+    """
     kind = classes.schema["id"].dataType.simpleString()
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,11 +206,71 @@ def index_lists(classes: DataFrame) -> DataFrame:
                     ["token", "id", "n", "place"],
                 )
 
-    return classes.select("id", "n", "prefix").mapInArrow(
-        spread, f"token long, id {kind}, n long, place int"
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        sent = None  # token, band and first of the last entry sent, where its list may go on
+        for batch in chain(batches, [None]):
+            if batch is not None and not len(batch):
+                continue
+            rows = pa.Table.from_batches([*held, *([] if batch is None else [batch])]) if held or batch else None
+            if rows is None:
+                continue
+            rows = rows.combine_chunks().to_batches()[0]
+            token = np.asarray(rows.column("token"))
+            cut = len(token) if batch is None else int(np.searchsorted(token, token[-1]))
+            if len(token) - cut > LIST_BLOCK:
+                cut = len(token)
+            held = [rows.slice(cut)] if cut < len(token) else []
+            if cut:
+                made, sent = marked(rows.slice(0, cut), sent, percent)
+                yield made
+
+    entries = classes.select("id", "n", "prefix").mapInArrow(spread, f"token long, id {kind}, n long, place int")
+    return (
+        entries.repartition("token")
+        .sortWithinPartitions("token", "n", "id")
+        .mapInArrow(listed, f"token long, id {kind}, n long, place int, first {kind}, open boolean")
     )
 
 
+def marked(rows: pa.RecordBatch, sent: tuple | None, percent: int) -> tuple[pa.RecordBatch, tuple]:
+    """Entries of lists with several sets, with first and open, and what the next entries go on from.
+
+    ``rows`` are in order of token, n, id; ``sent`` is what the call before returned. Its last list
+    may go on here if it is long, and is open then.
+    """
+    token, n, place = (np.asarray(rows.column(c), dtype=np.int64) for c in ("token", "n", "place"))
+    ids = rows.column("id")
+    band = np.floor(np.log(n) / np.log(100 / percent)).astype(np.int64)
+    new = np.r_[True, token[1:] != token[:-1]]
+    starts = new | np.r_[True, band[1:] != band[:-1]]
+    at = np.maximum.accumulate(np.where(starts, np.arange(len(token)), 0))
+    first = ids.take(pa.array(at))
+    begin = np.flatnonzero(new)
+    length = np.diff(np.r_[begin, len(token)])
+    run = np.cumsum(new) - 1
+    open_run = length > LIST_BLOCK
+    kept = length > 1
+    if sent is not None and sent[0] == token[0]:
+        open_run[0] = kept[0] = True
+        same = int(np.searchsorted(at, 0, "right")) if sent[1] == band[0] else 0
+        first = pa.concat_arrays([pa.array([sent[2]] * same, ids.type), first.slice(same)])
+    end = (begin + length)[run]
+    alone = np.arange(len(token))  # every entry is a component of its own here
+    u, apart = np.flatnonzero(~open_run[run]), 1
+    while len(u := u[u + apart < end[u]]):
+        v = u + apart
+        asked = (band[u] == band[v]) & (at[u] == u)
+        open_run[run[u[fitting(u, v, n, place, alone, percent) & ~asked]]] = True
+        u = u[~open_run[run[u]]]
+        apart += 1
+    made = pa.RecordBatch.from_arrays(
+        [*(rows.column(c) for c in ("token", "id", "n", "place")), first, pa.array(open_run[run])],
+        ["token", "id", "n", "place", "first", "open"],
+    )
+    return made.filter(pa.array(kept[run])), (token[-1], band[-1], first[-1].as_py())
+
+
 def block_pairs(size: np.ndarray, place: np.ndarray, comp: np.ndarray, percent: int):
     """Pairs (i, j) of a list sorted by place that may link and lie in two components.
 
@@ -338,9 +407,10 @@ def list_pairs(lists: DataFrame, percent: int, most: int | None) -> DataFrame:
             yield from pairs(held)
 
     return (
-        lists.select("token", "id", "n", "place", "comp", "bits", F.xxhash64("id").alias("key"))
+        lists.select("token", "id", "n", "place", "comp", "bits")
         .repartition("token")
         .sortWithinPartitions("token", "place", "id")
+        .withColumn("key", F.xxhash64("id"))
         .mapInArrow(search, f"a {kind}, b {kind}, n_a long, n_b long")
         .distinct()
     )
@@ -403,18 +473,8 @@ def overlaps(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
 
 def links_of(classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Links between classes that suffice for their components: a, b."""
-    entries = index_lists(classes).withColumn(
-        "band", F.floor(F.log("n") / F.log(F.lit(100.0 / percent))).cast("int")
-    )
-    shared = entries.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
-    lists = stored(entries.join(shared.select("token"), "token", "left_semi"), "lists")
-    firsts = lists.groupBy("token", "band").agg(F.min(F.struct("n", "id"))["id"].alias("first"))
-    star = (
-        lists.join(firsts, ["token", "band"])
-        .where("first <> id")
-        .select(F.col("first").alias("a"), F.col("id").alias("b"))
-        .distinct()
-    )
+    lists = stored(index_lists(classes, percent), "lists")
+    star = lists.where("first <> id").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     near = stored(with_bitmaps(star, classes, percent), "star-pairs")
     spark = classes.sparkSession
     known = stored_alone(spark, lambda: overlaps(near, texts, width), "star-overlaps")
@@ -428,6 +488,7 @@ def links_of(classes: DataFrame, texts: DataFrame, width: int, percent: int) ->
     )
     found = linked.select("a", "b")
     asked = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    lists = lists.where("open")
     for most in ASKED:
         comps = stored_alone(spark, lambda: components(found, "sets"), "components").withColumnRenamed("node", "id")  # noqa: B023
         labelled = lists.select("token", "id", "n", "place").join(comps, "id", "left")
@@ -498,15 +559,18 @@ def linked_sets(texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Of texts with distinct ids: id, n_shingles, component_id."""
     spark = texts.sparkSession
     sets = stored(described(texts, width, percent), "described-sets")
-    reps = stored(sets.where("n > 0").groupBy("digest").agg(F.min("id").alias("rep")), "set-digests")
+    reps = sets.where("n > 0").groupBy("digest").agg(F.min("id").alias("rep"))
     member = sets.select("id", "n", "digest").join(reps, "digest", "left")
-    member = member.select("id", "n", F.coalesce("rep", "id").alias("rep"))
-    rep_ids = reps.select(F.col("rep").alias("id"))
+    member = stored(member.select("id", "n", F.coalesce("rep", "id").alias("rep")), "set-members")
+    copies = member.where("id <> rep").select("id")
 
     def united() -> DataFrame:
-        classes = sets.where("prefix is not null").join(rep_ids, "id", "left_semi").drop("digest")
-        links = links_of(stored(classes, "class-sets"), texts, width, percent)
-        return components(links, "set-classes").withColumnRenamed("node", "rep")
+        classes = sets.where("prefix is not null and id is not null").drop("digest")
+        few = copies.limit(MOST_COPIES + 1).count() <= MOST_COPIES
+        classes = classes.join(F.broadcast(copies) if few else copies, "id", "left_anti")
+        # with few copies the sets need no shuffle, so they are not stored a second time
+        classes = classes if few else stored(classes, "class-sets")
+        return components(links_of(classes, texts, width, percent), "set-classes").withColumnRenamed("node", "rep")
 
     comps = stored_alone(spark, united, "set-components")
     return member.join(comps, "rep", "left").select(
