@@ -112,3 +112,16 @@ def test_parts_equal_whole_texts(text):
     said = ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups)
     assert (*sizes, groups_said) == (n_a, n_b, len(groups), said)
     assert Counter({(k >> B_BITS, k % (1 << B_BITS)): n for k, n in links.items()}) == Counter(wanted_links)
+
+
+def test_links_of_repeated_parts_are_summed_as_arrays():
+    held = aligner(*paths())
+    texts = ["the cat the cat the", "", "▁ the", "the"]
+    for text, (*found, links, times) in zip(texts, held.summed(texts), strict=True):
+        n_a, n_b, groups, wanted_links = plain(text)
+        assert found[:3] == [n_a, n_b, len(groups)]
+        assert list(links) == sorted(set(links)) and times.sum() == len(wanted_links)
+        said = Counter({(int(k) >> B_BITS, int(k) % (1 << B_BITS)): int(n) for k, n in zip(links, times, strict=True)})
+        assert said == Counter(wanted_links)
+    # a part is kept as bytes: no list of numbers for each of them
+    assert all(isinstance(x, bytes) for x in held.links.values())

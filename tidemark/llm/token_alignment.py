@@ -28,7 +28,6 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import accumulate, chain, count
 
@@ -107,12 +106,13 @@ class Aligner:
     def forget(self) -> None:
         """Begin a new generation of known parts; what is used again comes over from the last one.
 
-        Of a part: the numbers of A's tokens, B's tokens and groups as one number; groups; links.
+        Of a part: the numbers of A's and B's tokens as one number; groups; the bytes of its links as
+        64-bit numbers, one for each group.
         """
         self.before = getattr(self, "sizes", {}), getattr(self, "groups", {}), getattr(self, "links", {})
         self.sizes: dict[str, int] = {"": 0}
         self.groups: dict[str, str] = {"": ""}
-        self.links: dict[str, list[int]] = {"": []}
+        self.links: dict[str, bytes] = {"": b""}
 
     def know(self, parts: set[str]) -> None:
         """Take over or learn the parts of ``parts`` that this generation does not know."""
@@ -154,7 +154,7 @@ class Aligner:
             self.align(parts[half:], a_ids[half:], b_ids[half:])
             return
         a_to, b_to = [a_ends[at] for at in common], [b_ends[at] for at in common]
-        links = [a[i - 1] << B_BITS | b[j - 1] for i, j in zip(a_to, b_to, strict=True)]
+        links = np.array([a[i - 1] << B_BITS | b[j - 1] for i, j in zip(a_to, b_to, strict=True)], np.int64).tobytes()
         a_names, b_names = [self.a_names[k] for k in a], [self.b_names[k] for k in b]
         groups = [
             (a_names[i] if k - i == 1 else ",".join(a_names[i:k])) + "|" + (b_names[j] if m - j == 1 else ",".join(b_names[j:m]))
@@ -164,29 +164,32 @@ class Aligner:
         begin = 0
         for part, end, own_a, own_b in zip(parts, part_ends, a_ids, b_ids, strict=True):
             upto = place[end]
-            self.sizes[part] = len(own_a) << 64 | len(own_b) << 32 | upto - begin
+            self.sizes[part] = len(own_a) << 32 | len(own_b)
             self.groups[part] = ";".join(groups[begin:upto])
-            self.links[part] = links[begin:upto]
+            self.links[part] = links[8 * begin : 8 * upto]
             begin = upto
 
     def texts(self, texts: list[str]) -> Iterator[tuple[int, int, int, str, dict[int, int]]]:
         """Of each text: tokens of A and of B, groups, the groups written out, links and how often it has them."""
+        for *found, links, times in self.summed(texts):
+            yield *found, dict(zip(links.tolist(), times.tolist(), strict=True))
+
+    def summed(self, texts: list[str]) -> Iterator[tuple[int, int, int, str, np.ndarray, np.ndarray]]:
+        """As ``texts``, with the distinct links in order and their numbers as two arrays."""
         parts = [(SAFE.split(t) if self.parted else [t]) if t else [] for t in texts]
         if len(self.sizes) > KEPT_PARTS:
             self.forget()
         self.know(set(chain.from_iterable(parts)))
         for text, own in zip(texts, parts, strict=True):
-            found = Counter(own)
-            if None in map(self.sizes.__getitem__, found):
+            sizes = list(map(self.sizes.__getitem__, own))
+            if None in sizes:
                 self.know({text})
                 own = [text] if self.sizes[text] is not None else []
-                found = Counter(own)
-            size = sum(map(self.sizes.__getitem__, own))
-            links: dict[int, int] = {}
-            for part, times in found.items():
-                for link in self.links[part]:
-                    links[link] = links.get(link, 0) + times
-            yield size >> 64, size >> 32 & LOW, size & LOW, ";".join(map(self.groups.__getitem__, own)), links
+                sizes = list(map(self.sizes.__getitem__, own))
+            size = sum(sizes)
+            held = np.frombuffer(b"".join(map(self.links.__getitem__, own)), np.int64)
+            links, times = np.unique(held, return_counts=True)
+            yield size >> 32, size & LOW, len(held), ";".join(map(self.groups.__getitem__, own)), links, times
 
 
 _loaded: dict[tuple[str, str], Aligner] = {}
@@ -211,10 +214,9 @@ def align_tokens(
         held = aligner(a_path, b_path)
         for batch in batches:
             for part in slices(batch, "text"):
-                found = list(held.texts(part.column("text").fill_null("").to_pylist()))
+                found = list(held.summed(part.column("text").fill_null("").to_pylist()))
                 offsets = np.cumsum([0, *(len(f[4]) for f in found)], dtype=np.int32)
-                pairs = np.fromiter(chain.from_iterable(f[4] for f in found), np.int64, offsets[-1])
-                times = np.fromiter(chain.from_iterable(f[4].values() for f in found), np.int64, offsets[-1])
+                pairs, times = (np.concatenate([f[k] for f in found]) for k in (4, 5))
                 columns = (pairs >> B_BITS, pairs & ((1 << B_BITS) - 1), times)
                 links = pa.StructArray.from_arrays(
                     [pa.array(c).cast(f.type) for c, f in zip(columns, LINK, strict=True)], fields=list(LINK)
