@@ -187,6 +187,24 @@ def test_suffix_dedup_is_exact(spark, copies):
     assert suffix_dedup.summary(empty, suffix_dedup.removed_spans(empty)).collect() == []
 
 
+def test_fingerprints_of_a_share_are_those_of_all_in_it():
+    """Rounds take shares of the keys before they are checked and sorted; equal keys may differ in check."""
+    text = prose("share", 300)
+    table = pa.table({"text": [text, text[:900]], "places": [list(range(0, 1000, 50)), [0, 300]]})
+    *_, every = suffix_dedup.fingerprints(table, 307, 400)
+    found = []
+    for number in range(3):
+        *_, keys = suffix_dedup.fingerprints(table, 307, 400, lambda k, n=number: suffix_dedup.share_of(k, 3) == n)
+        found.append(suffix_dedup.distinct_keys(keys))
+    distinct, count, inverse = suffix_dedup.distinct_keys(every)
+    assert (distinct[inverse] == every).all() and count.sum() == len(every) and (count > 1).any()
+    assert (np.concatenate([f[0] for f in found]) == distinct).all()
+    assert (np.concatenate([f[1] for f in found]) == count).all()
+    clash = np.array([(5, 4), (5, 2), (3, 2), (5, 4)], every.dtype)
+    distinct, count, inverse = suffix_dedup.distinct_keys(clash)
+    assert distinct.tolist() == [(3, 2), (5, 2), (5, 4)] and count.tolist() == [1, 1, 2] and (distinct[inverse] == clash).all()
+
+
 @pytest.mark.parametrize("q", [2, 3, 5, 17])
 def test_difference_cover(q):
     v, cover = q * q + q + 1, suffix_dedup.difference_cover(q)
