@@ -12,7 +12,7 @@ import pytest
 
 import corpus_pipeline
 from tidemark.llm import (
-    catalog, decontaminate, embedding_dups, line_dedup, mixing, ngram_join, suffix_dedup,
+    catalog, common, decontaminate, embedding_dups, line_dedup, mixing, ngram_join, suffix_dedup,
 )
 from tidemark.llm.common import components, importable
 
@@ -167,6 +167,45 @@ def test_bitmap_never_exceeds_the_difference():
         assert ngram_join.bitmap_difference(*bits) <= len(np.setxor1d(a, b))
 
 
+def counted_steps(monkeypatch):
+    """The names of the steps stored from now on."""
+    names, stored = [], common.stored
+    for module in (common, ngram_join):
+        monkeypatch.setattr(module, "stored", lambda df, name: names.append(name) or stored(df, name))
+    return names
+
+
+def test_components_end_without_a_round_that_changes_nothing(spark, monkeypatch):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(200)], "a long, b long")
+    for parts, most in ((1, 2), (3, 20)):
+        names = counted_steps(monkeypatch)
+        found = components(edges.repartition(parts), "t").collect()
+        assert sorted((r.node, r.component) for r in found) == [(i, 0) for i in range(201)]
+        assert len(names) <= most
+        monkeypatch.undo()
+
+
+def test_join_ends_when_every_pair_is_asked(spark, copies, monkeypatch):
+    names = counted_steps(monkeypatch)
+    ngram_join.linked_documents(copies).collect()
+    assert names.count("rest-pairs") == 1
+
+
+def test_list_tells_that_it_keeps_pairs_back(spark):
+    bits = ngram_join.bitmap(np.arange(40, dtype=np.uint64))
+    lists = spark.createDataFrame(
+        [(1, i, 40, 0, i, bytearray(bits)) for i in range(30)],
+        "token long, id long, n long, place int, comp long, bits binary",
+    )
+    importable(spark)
+    for most, back in ((4, True), (16, False), (None, False)):
+        pairs = [(r.a, r.b) for r in ngram_join.list_pairs(lists, 90, most).collect()]
+        assert ((None, None) in pairs) == back
+        asked = Counter(x for p in pairs if p != (None, None) for x in p)
+        assert min(asked[i] for i in range(30)) >= (4 if back else 29)
+        assert (len(pairs) < 30 * 29 // 2) == back
+
+
 def test_suffix_dedup_is_exact(spark, copies):
     docs = {r.doc_id: (r.text or "").encode() for r in copies.collect()}
     length = 400

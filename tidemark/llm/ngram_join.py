@@ -9,7 +9,8 @@
    components, are read again, sorted by position in
    blocks; block pairs that no link fits by size, position or component are skipped whole. The first
    rounds ask the few pairs of smallest hash of each component only, so components that many
-   links join become one before all pairs that are left are asked in the last round.
+   links join become one before all pairs that are left are asked in the last round. Lists whose
+   pairs are no more than that ask all; the round after which no list has kept one back is the last.
 4. The answers of a star's centre are computed first; bounds from the overlap with the centre
    decide most pairs of its members, and the rest is verified.
 
@@ -38,11 +39,11 @@ from pyspark.sql import types as T
 from tidemark.llm.common import (
     LOWER,
     Rolling,
-    components,
     mixed,
     one_text_each,
     slices,
     small,
+    smallest_reached,
     stored,
     stored_alone,
     text_bytes,
@@ -57,6 +58,7 @@ LIST_BLOCK = 512
 # Pairs that a component asks from a list in each round; the last round asks all.
 ASKED = (4, 16, None)
 MOST_COPIES = 2_000_000
+MOST_LINKS = 1_000_000
 
 
 def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
@@ -347,7 +349,7 @@ def list_pairs(lists: DataFrame, percent: int, most: int | None) -> DataFrame:
     """Candidate pairs (a, b, their sizes) of lists that hold several components.
 
     Pairs that differ too much by their bitmaps do not leave the task; with ``most``, only so many
-    of each component do.
+    of each component do where a set has more on average. A row without ids tells that some were kept back.
     """
     kind = lists.schema["id"].dataType.simpleString()
 
@@ -364,6 +366,7 @@ def list_pairs(lists: DataFrame, percent: int, most: int | None) -> DataFrame:
         own = comp[at]
         done: np.ndarray = np.zeros(0, np.int64)
         few: tuple[np.ndarray, np.ndarray] = (done, done)
+        back = False
         for u, v in run_pairs(token, n, place, comp, percent):
             u, v = code[u], code[v]
             new = np.setdiff1d(np.minimum(u, v) * len(ids) + np.maximum(u, v), done)
@@ -375,8 +378,14 @@ def list_pairs(lists: DataFrame, percent: int, most: int | None) -> DataFrame:
             if most is None:
                 yield from named(ids, size, u, v)
             elif len(u):
-                few = first_pairs(np.r_[few[0], u], np.r_[few[1], v], own, key, most)
+                few = (np.r_[few[0], u], np.r_[few[1], v])
+                if back or len(few[0]) > most * len(ids):
+                    chosen = first_pairs(*few, own, key, most)
+                    back, few = back or len(chosen[0]) < len(few[0]), chosen
         yield from named(ids, size, *few)
+        if back:
+            none, zero = pa.nulls(1, ids.type), pa.array([0], pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, zero, zero], ["a", "b", "n_a", "n_b"])
 
     def named(ids: pa.Array, size: np.ndarray, u: np.ndarray, v: np.ndarray) -> Iterator[pa.RecordBatch]:
         if len(u):
@@ -441,11 +450,10 @@ def with_bitmaps(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFram
     )
 
 
-def overlaps(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """The exact overlap of the sets of each pair: the columns of ``pairs`` and ``common``."""
+def sets_of(ids: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """The whole sets of the ids given, stored: id, tokens."""
     kind = texts.schema["id"].dataType.simpleString()
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    needed = texts.join(small(stored(ids, "set-ids")), "id", "left_semi")
+    needed = texts.join(small(stored(ids.distinct(), "set-ids")), "id", "left_semi")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, sets in parts_of(batches, width):
@@ -453,7 +461,11 @@ def overlaps(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
                 [part.column("id"), pa.array([x.tobytes() for x in sets], pa.binary())], ["id", "tokens"]
             )
 
-    sets = stored(needed.mapInArrow(make, f"id {kind}, tokens binary"), "sets")
+    return stored(needed.mapInArrow(make, f"id {kind}, tokens binary"), "sets")
+
+
+def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The exact overlap of the sets of each pair: the columns of ``pairs`` and ``common``."""
     names = pairs.columns
     joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("tokens").alias("y")), "b"
@@ -471,13 +483,19 @@ def overlaps(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     return joined.select(*names, "x", "y").mapInArrow(count, form)
 
 
-def links_of(classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links between classes that suffice for their components: a, b."""
+def ids_in(df: DataFrame, *columns: str) -> DataFrame:
+    return df.select(F.explode(F.array(*columns)).alias("id"))
+
+
+def class_components(classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The smallest id that a class reaches by links, where that is not its own: node, component."""
     lists = stored(index_lists(classes, percent), "lists")
     star = lists.where("first <> id").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     near = stored(with_bitmaps(star, classes, percent), "star-pairs")
     spark = classes.sparkSession
-    known = stored_alone(spark, lambda: overlaps(near, texts, width), "star-overlaps")
+    known = stored_alone(
+        spark, lambda: overlaps(near, sets_of(ids_in(near, "a", "b"), texts, width)), "star-overlaps"
+    )
     linked = known.where(F.col("common") >= required_column("n_a", "n_b", percent))
     # answers of a star's centre stand for its members: |b & a| lies between bounds of |b & centre|
     centres = (
@@ -486,12 +504,12 @@ def links_of(classes: DataFrame, texts: DataFrame, width: int, percent: int) ->
         .select("a", "c.*")
         .withColumnRenamed("common", "with_centre")
     )
-    found = linked.select("a", "b")
+    comps = stored_alone(spark, lambda: smallest_reached(linked.select("a", "b"), "sets"), "components")
     asked = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     lists = lists.where("open")
     for most in ASKED:
-        comps = stored_alone(spark, lambda: components(found, "sets"), "components").withColumnRenamed("node", "id")  # noqa: B023
-        labelled = lists.select("token", "id", "n", "place").join(comps, "id", "left")
+        named = small(comps.withColumnRenamed("node", "id"), MOST_LINKS)
+        labelled = lists.select("token", "id", "n", "place").join(named, "id", "left")
         labelled = labelled.withColumn("comp", F.coalesce("component", "id")).drop("component")
         several = (
             labelled.groupBy("token")
@@ -502,14 +520,19 @@ def links_of(classes: DataFrame, texts: DataFrame, width: int, percent: int) ->
         # components only grow, so the lists of a round are among those of the round before
         lists = stored(labelled.join(several, "token", "left_semi"), "rest-lists")
         described_lists = lists.join(classes.select("id", "bits"), "id")
-        wanted = list_pairs(described_lists, percent, most).join(asked, ["a", "b"], "left_anti")
+        wanted = list_pairs(described_lists, percent, most).join(small(asked, MOST_LINKS), ["a", "b"], "left_anti")
         pairs = stored(wanted, "rest-pairs")
-        if pairs.isEmpty():
-            continue
-        links = stored_alone(spark, lambda: answered(pairs, centres, texts, width, percent), "set-links")  # noqa: B023
-        found = found.unionByName(links)
-        asked = asked.unionByName(pairs.select("a", "b"))
-    return found
+        new, back = pairs.agg(F.count("a"), F.count_if(F.col("a").isNull())).first()
+        if new:
+            pairs = pairs.where("a is not null")
+            links = stored_alone(spark, lambda: answered(pairs, centres, texts, width, percent), "set-links")  # noqa: B023
+            asked = asked.unionByName(pairs.select("a", "b"))
+            if not links.isEmpty():
+                links = links.unionByName(comps.select(F.col("node").alias("a"), F.col("component").alias("b")))
+                comps = stored_alone(spark, lambda: smallest_reached(links, "sets"), "components")  # noqa: B023
+        if not back:
+            break
+    return comps
 
 
 def answered(pairs: DataFrame, centres: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -521,8 +544,8 @@ def answered(pairs: DataFrame, centres: DataFrame, texts: DataFrame, width: int,
         .withColumn("with_centre", F.coalesce("with_centre", "n_a"))
     )
     placed = stored(placed, "placed-pairs")
-    asked = placed.select(F.col("centre").alias("a"), "b").distinct()
-    answers = stored_alone(pairs.sparkSession, lambda: overlaps(asked, texts, width), "centre-answers")
+    sets = sets_of(ids_in(placed, "a", "b", "centre"), texts, width)
+    answers = overlaps(placed.select(F.col("centre").alias("a"), "b").distinct(), sets)
     need = required_column("n_a", "n_b", percent)
     bounded = placed.join(answers.withColumnRenamed("a", "centre"), ["centre", "b"]).select(
         "a", "b", "n_a", "n_b",
@@ -531,7 +554,7 @@ def answered(pairs: DataFrame, centres: DataFrame, texts: DataFrame, width: int,
     )
     bounded = stored(bounded, "bounded-pairs")
     open_pairs = bounded.where("maybe and not surely").select("a", "b", "n_a", "n_b")
-    verified = overlaps(open_pairs, texts, width).where(F.col("common") >= need)
+    verified = overlaps(open_pairs, sets).where(F.col("common") >= need)
     return bounded.where("surely").select("a", "b").unionByName(verified.select("a", "b"))
 
 
@@ -570,7 +593,7 @@ def linked_sets(texts: DataFrame, width: int, percent: int) -> DataFrame:
         classes = classes.join(F.broadcast(copies) if few else copies, "id", "left_anti")
         # with few copies the sets need no shuffle, so they are not stored a second time
         classes = classes if few else stored(classes, "class-sets")
-        return components(links_of(classes, texts, width, percent), "set-classes").withColumnRenamed("node", "rep")
+        return class_components(classes, texts, width, percent).withColumnRenamed("node", "rep")
 
     comps = stored_alone(spark, united, "set-components")
     return member.join(comps, "rep", "left").select(
