@@ -125,3 +125,26 @@ def test_links_of_repeated_parts_are_summed_as_arrays():
         assert said == Counter(wanted_links)
     # a part is kept as bytes: no list of numbers for each of them
     assert all(isinstance(x, bytes) for x in held.links.values())
+
+
+def test_new_parts_are_encoded_many_to_a_text():
+    held = token_alignment.Aligner(*paths())
+    encode, sent = held.a.encode_batch_fast, []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            sent.extend(texts)
+            return encode(texts, **options)
+
+    held.a = Counted()
+    words = [f"w{i:x}{'xyz'[i % 3]}." for i in range(3000)]
+    # one part that does not give its bytes back, and parts with white space at an end, among them
+    texts = [" ".join(words[:2000]), " ".join([*words[2000:2500], "a▁b", *words[2500:]]), "  w1  \n b ", "\tw2 w3\t"]
+    found = list(held.texts(texts))
+    for text, (*sizes, groups_said, links) in zip(texts, found, strict=True):
+        n_a, n_b, groups, wanted_links = plain(text)
+        said = ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups)
+        assert (*sizes, groups_said) == (n_a, n_b, len(groups), said)
+        assert Counter({(k >> B_BITS, k % (1 << B_BITS)): n for k, n in links.items()}) == Counter(wanted_links)
+    assert found[0][2] and not found[1][2]
+    assert len(sent) < 200

@@ -10,7 +10,8 @@ A single space between two characters that are no white space is a safe boundary
 never takes white space into the token before, and no piece of B holds a space mark after another
 character. Such a part is encoded alone, with the space in front, and its boundary is a common end.
 Parts that are equal are aligned once per worker (a table of ``KEPT_PARTS`` of them; when it is full, a
-new one is begun, which takes parts over from the last one as they occur again). A text
+new one is begun, which takes parts over from the last one as they occur again). New parts without white
+space at their ends are encoded ``JOINED_PARTS`` to a text with the spaces between them, which are safe. A text
 with a part whose tokens do not give its bytes back is encoded once more as a whole, which decides.
 
 How often two ids are linked is counted over the whole corpus, and each document's links then take
@@ -28,7 +29,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from itertools import accumulate, chain, count
 
 import numpy as np
@@ -39,11 +40,13 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import importable, slices, small, stored, stored_alone
 
 KEPT_PARTS = 200_000
+JOINED_PARTS = 64
+ALIGNED_ROWS = 32
 MOST_PAIRS = 2_000_000
 B_BITS = 30
 LOW = (1 << 32) - 1
 MARK = "▁"
-SAFE = re.compile(r"(?<=\S) (?=\S)")
+SAFE = re.compile(r" (?<=\S )(?=\S)")
 LINK = pa.struct([("a", pa.int32()), ("b", pa.int32()), ("times", pa.int64())])
 GROUPED = "number long, id {}, n_a long, n_b long, n_groups long, groups string, links array<struct<a:int,b:int,times:long>>"
 
@@ -55,9 +58,9 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
-def ends(lengths: Iterable[int]) -> dict[int, int]:
+def ends(lengths: np.ndarray) -> dict[int, int]:
     """Each token's end in bytes, and the number of tokens up to there."""
-    return dict(zip(accumulate(lengths), count(1)))
+    return dict(zip(np.cumsum(lengths).tolist(), count(1)))
 
 
 def common_ends(a_ends: dict[int, int], b_ends: dict[int, int]) -> list[int]:
@@ -96,9 +99,10 @@ class Aligner:
             and not splitter.get("add_prefix_space", True)
             and not any(re.search(f"[^{MARK}]{MARK}", p) for p in pieces)
         )
-        self.a_sizes = {k: len(x) for k, x in self.a_bytes.items()}
-        self.b_sizes = [len(x) for x in self.b_bytes]
-        self.a_names = {k: str(k) for k in self.a_bytes}
+        self.a_sizes = np.zeros(1 + max(self.a_bytes), np.int64)
+        self.a_sizes[list(self.a_bytes)] = list(map(len, self.a_bytes.values()))
+        self.b_sizes = np.array(list(map(len, self.b_bytes)), np.int64)
+        self.a_names = [str(k) for k in range(len(self.a_sizes))]
         self.b_names = [str(k) for k in range(len(pieces))]
         self.forget()
         self.forget()
@@ -106,68 +110,82 @@ class Aligner:
     def forget(self) -> None:
         """Begin a new generation of known parts; what is used again comes over from the last one.
 
-        Of a part: the numbers of A's and B's tokens as one number; groups; the bytes of its links as
-        64-bit numbers, one for each group.
+        Of a part: its groups, and the bytes of two 64-bit numbers for each group: its link, and the
+        numbers of A's and B's tokens. A part whose tokens don't give its bytes back has no groups.
         """
-        self.before = getattr(self, "sizes", {}), getattr(self, "groups", {}), getattr(self, "links", {})
-        self.sizes: dict[str, int] = {"": 0}
-        self.groups: dict[str, str] = {"": ""}
-        self.links: dict[str, bytes] = {"": b""}
+        self.before = getattr(self, "groups", {}), getattr(self, "links", {})
+        self.groups: dict[str, str] = {}
+        self.links: dict[str, bytes] = {}
 
     def know(self, parts: set[str]) -> None:
         """Take over or learn the parts of ``parts`` that this generation does not know."""
-        new = parts.difference(self.sizes)
-        sizes, groups, links = self.before
-        again = new.intersection(sizes)
-        self.sizes.update((p, sizes[p]) for p in again)
-        self.groups.update((p, groups[p]) for p in again if p in groups)
-        self.links.update((p, links[p]) for p in again if p in links)
+        new = parts.difference(self.groups)
+        groups, links = self.before
+        again = new.intersection(groups)
+        self.groups.update((p, groups[p]) for p in again)
+        self.links.update((p, links[p]) for p in again)
         self.learn(list(new.difference(again)))
 
     def learn(self, parts: list[str]) -> None:
-        """Encode and align parts one after the other, as one row of tokens."""
+        """Encode and align parts one after the other, some as one text: the spaces between them are safe.
+
+        A part with white space at an end has no safe space there, and is a text of its own.
+        """
+        plain = [p for p in parts if p == p.strip()] if self.parted else []
+        rows = [plain[i : i + JOINED_PARTS] for i in range(0, len(plain), JOINED_PARTS)]
+        if len(plain) < len(parts):
+            rows += [[p] for p in set(parts).difference(plain)]
+        while rows:
+            rows, now = rows[ALIGNED_ROWS:], rows[:ALIGNED_ROWS]
+            rows += self.align(now)
+
+    def align(self, rows: list[list[str]]) -> list[list[str]]:
+        """Returns the parts that are left: those of rows whose bytes the tokens don't give back, each alone.
+
+        A part that is alone in such a row is kept without groups.
+        """
+        texts = [" ".join(row) for row in rows]
+        a_ids = [x.ids for x in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        b_ids = self.b.encode(texts, num_threads=1)
+        given, left = [], []
+        for k, text in enumerate(texts):
+            whole = b" " + text.encode()
+            if (
+                b"".join(map(self.a_bytes.__getitem__, a_ids[k])) == whole
+                and b"".join(map(self.b_bytes.__getitem__, b_ids[k])) == whole
+            ):
+                given.append(k)
+            elif len(rows[k]) > 1:
+                left += [[p] for p in rows[k]]
+            else:
+                self.groups[rows[k][0]], self.links[rows[k][0]] = "", b""
+        parts = [p for k in given for p in rows[k]]
         if not parts:
-            return
-        a = [x.ids for x in self.a.encode_batch_fast([" " + t for t in parts], add_special_tokens=False)]
-        b = self.b.encode(parts, num_threads=1)
-        self.align(parts, a, b)
-
-    def align(self, parts: list[str], a_ids: list[list[int]], b_ids: list[list[int]]) -> None:
-        """Of parts whose bytes the tokens don't give back, None is kept; they are found by halves."""
-        texts = [b" " + p.encode() for p in parts]
-        a, b = list(chain.from_iterable(a_ids)), list(chain.from_iterable(b_ids))
-        a_ends, b_ends = ends([self.a_sizes[k] for k in a]), ends([self.b_sizes[k] for k in b])
+            return left
+        a, b = (list(chain.from_iterable([ids[k] for k in given])) for ids in (a_ids, b_ids))
+        a_row, b_row = np.array(a), np.array(b)
+        a_ends, b_ends = ends(self.a_sizes[a_row]), ends(self.b_sizes[b_row])
         common = common_ends(a_ends, b_ends)
-        part_ends = list(accumulate(map(len, texts)))
-        whole = b"".join(texts)
-        given = (
-            b"".join([self.a_bytes[k] for k in a]) == whole
-            and b"".join([self.b_bytes[k] for k in b]) == whole
-            and set(part_ends) <= set(common)
-        )
-        if not given:
-            if len(parts) == 1:
-                self.sizes[parts[0]] = None
-                return
-            half = len(parts) // 2
-            self.align(parts[:half], a_ids[:half], b_ids[:half])
-            self.align(parts[half:], a_ids[half:], b_ids[half:])
-            return
-        a_to, b_to = [a_ends[at] for at in common], [b_ends[at] for at in common]
-        links = np.array([a[i - 1] << B_BITS | b[j - 1] for i, j in zip(a_to, b_to, strict=True)], np.int64).tobytes()
-        a_names, b_names = [self.a_names[k] for k in a], [self.b_names[k] for k in b]
+        place = dict(zip(common, count(1)))
+        part_ends = list(accumulate([len(p.encode()) + 1 for p in parts]))
+        if not place.keys() >= set(part_ends):
+            return left + [[p] for p in parts]
+        a_to, b_to = list(map(a_ends.__getitem__, common)), list(map(b_ends.__getitem__, common))
+        a_names, b_names = list(map(self.a_names.__getitem__, a)), list(map(self.b_names.__getitem__, b))
         groups = [
             (a_names[i] if k - i == 1 else ",".join(a_names[i:k])) + "|" + (b_names[j] if m - j == 1 else ",".join(b_names[j:m]))
             for i, k, j, m in zip([0, *a_to], a_to, [0, *b_to], b_to)
         ]
-        place = dict(zip(common, count(1)))
-        begin = 0
-        for part, end, own_a, own_b in zip(parts, part_ends, a_ids, b_ids, strict=True):
-            upto = place[end]
-            self.sizes[part] = len(own_a) << 32 | len(own_b)
-            self.groups[part] = ";".join(groups[begin:upto])
-            self.links[part] = links[8 * begin : 8 * upto]
-            begin = upto
+        a_to, b_to = np.array(a_to), np.array(b_to)
+        links = np.empty((len(common), 2), np.int64)
+        links[:, 0] = a_row[a_to - 1] << B_BITS | b_row[b_to - 1]
+        links[:, 1] = np.diff(a_to, prepend=0) << 32 | np.diff(b_to, prepend=0)
+        held = links.tobytes()
+        upto = list(map(place.__getitem__, part_ends))
+        cuts = list(zip([0, *upto], upto))
+        self.groups.update(zip(parts, [";".join(groups[x:y]) for x, y in cuts], strict=True))
+        self.links.update(zip(parts, [held[16 * x : 16 * y] for x, y in cuts], strict=True))
+        return left
 
     def texts(self, texts: list[str]) -> Iterator[tuple[int, int, int, str, dict[int, int]]]:
         """Of each text: tokens of A and of B, groups, the groups written out, links and how often it has them."""
@@ -177,19 +195,19 @@ class Aligner:
     def summed(self, texts: list[str]) -> Iterator[tuple[int, int, int, str, np.ndarray, np.ndarray]]:
         """As ``texts``, with the distinct links in order and their numbers as two arrays."""
         parts = [(SAFE.split(t) if self.parted else [t]) if t else [] for t in texts]
-        if len(self.sizes) > KEPT_PARTS:
+        if len(self.groups) > KEPT_PARTS:
             self.forget()
         self.know(set(chain.from_iterable(parts)))
         for text, own in zip(texts, parts, strict=True):
-            sizes = list(map(self.sizes.__getitem__, own))
-            if None in sizes:
+            groups = list(map(self.groups.__getitem__, own))
+            if "" in groups:
                 self.know({text})
-                own = [text] if self.sizes[text] is not None else []
-                sizes = list(map(self.sizes.__getitem__, own))
-            size = sum(sizes)
+                own = [text] if self.groups[text] else []
+                groups = list(map(self.groups.__getitem__, own))
             held = np.frombuffer(b"".join(map(self.links.__getitem__, own)), np.int64)
-            links, times = np.unique(held, return_counts=True)
-            yield size >> 32, size & LOW, len(held), ";".join(map(self.groups.__getitem__, own)), links, times
+            size = int(held[1::2].sum())
+            links, times = np.unique(held[::2], return_counts=True)
+            yield size >> 32, size & LOW, len(held) // 2, ";".join(groups), links, times
 
 
 _loaded: dict[tuple[str, str], Aligner] = {}
