@@ -2,14 +2,17 @@
 
 import datetime as dt
 import re
+import sys
 import time
 
 import pytest
 from conftest import as_set
 from pyspark.sql import functions as F
 
+from tidemark import catalog
 from tidemark.catalog import registry
 from tidemark.catalog.fixtures import FIXTURES, PLANNED
+from tidemark.functions.text import CASELESS, caseless_key, caseless_value
 from tidemark.operators import activity as A
 from tidemark.operators import fixed as X
 from tidemark.operators.service_lines import service_lines
@@ -104,10 +107,20 @@ def test_charges_travel_with_one_number_for_their_codes(rows):
     ]
 
 
+def test_a_key_is_equal_where_caseless_texts_are(spark):
+    cased = [c for c in map(chr, range(1, sys.maxunicode + 1)) if c.lower() != c or c.upper() != c]
+    texts = [p + c + q for c in [*cased, " ", "x"] for p, q in (("", ""), ("a", "b"), ("A", ""), ("A ", "  "))]
+    df = spark.createDataFrame([(x, caseless_value(x)) for x in texts], "x string, value string")
+    df = df.withColumn("c", F.collate("x", CASELESS)).withColumn("k", caseless_key(F.col("c")))
+    assert df.where(F.col("c") != F.collate("k", CASELESS)).count() == 0
+    assert df.where(F.col("k") != F.col("value")).count() == 0
+    assert df.select("c").distinct().count() == df.select("k").distinct().count()
+
+
 @pytest.fixture
 def folder(rows, tmp_path):
     """Few orders in all their kinds, one customer, part and line missing, lines out of order."""
-    day = ["1999-03-01", "2000-05-02", "2000-12-24", "2001-03-05"]
+    day = ["1999-03-01", "2000-07-31", "2000-12-31", "2001-03-31"]
     price = [9000, 20000, 30000, 100000, 485000, 492000, 496000]
     orders = [(k, k % 5, "FOP"[k % 3], price[k % 7], f"{day[k % 4]} 10:00:00", "1-URGENT" if k % 2 else "5-LOW") for k in range(1, 85)]
     lines = [(k, k * n % 11, n, 50 if k % 9 == 0 else n, 100 * n, "ANR"[k % 3], "OF"[n % 2], f"{day[(k + n) % 4]} 00:00:00") for n in (2, 1, 3) for k in range(84, 0, -1)]
@@ -130,3 +143,12 @@ def test_planned_inputs_are_the_fixtures(spark, folder):
         planned = getattr(t, name)
         assert [(f.name, f.dataType) for f in planned.schema] == [(f.name, f.dataType) for f in plain.schema]
         assert as_set(planned) == as_set(plain) and planned.count() > 60
+
+
+def test_caseless_classes_meet_on_plain_keys(spark, folder, shuffled):
+    found = catalog.queries()
+    out = found["caseless_classes"](spark, folder)
+    assert not [x for x in exchanges(out) if "collationkey" in x or "record_id, snapshot_date" in x]
+    columns = sorted(out.columns)
+    assert as_set(out, *columns) == as_set(found["classify_tiers"](spark, folder), *columns)
+    assert out.count() > 60
