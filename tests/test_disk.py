@@ -1,4 +1,4 @@
-"""What keeps the disk small: stored steps, one exchange of the record, numbers for codes."""
+"""What keeps the disk small: stored steps, one exchange of the record, numbers for codes, packed rows."""
 
 import datetime as dt
 import re
@@ -15,6 +15,7 @@ from tidemark.catalog.fixtures import FIXTURES, PLANNED
 from tidemark.functions.text import CASELESS, caseless_key, caseless_value
 from tidemark.operators import activity as A
 from tidemark.operators import fixed as X
+from tidemark.operators import history as H
 from tidemark.operators.service_lines import service_lines
 from tidemark.operators.snapshot import Span
 from tidemark.session import store
@@ -107,6 +108,24 @@ def test_charges_travel_with_one_number_for_their_codes(rows):
     ]
 
 
+def test_fold_packs_the_rows_of_a_record(rows, shuffled):
+    df = rows(
+        "k string, n int, d date, c string, p string, q string",
+        ("1", 1, "2000-01-31", "class", None, None), ("1", 1, "2000-01-31", None, "p1", None),
+        ("1", 1, "2000-01-31", None, "p2", "q1"), ("1", 1, "2000-02-29", None, "p3", "q3"),
+        ("1", 1, "2000-02-29", "other", None, None), ("1", 1, "2000-02-29", "other", None, None),
+        ("1", 2, None, "class", "p4", None), ("1", 2, "2000-01-31", None, "p5", None), (None, 2, None, "x", "p6", None),
+    )
+    plain = H.fold_sparse_rows(df, ["k", "n", "d"], ["c"], "c", ["p", "q"])
+    packed = H.fold_sparse_rows(df, ["k", "n", "d"], ["c"], "c", ["p", "q"], ["k", "n"])
+    assert exchanges(packed) == ["k, n"]
+    assert as_set(packed) == as_set(plain) == [
+        ("1", "1", "2000-01-31", "class", "p1", "q1"), ("1", "1", "2000-01-31", "class", "p2", "q1"),
+        ("1", "1", "2000-02-29", "other", "p3", "q3"), ("1", "2", "None", "class", "p4", "None"),
+        ("None", "2", "None", "x", "p6", "None"),
+    ]
+
+
 def test_a_key_is_equal_where_caseless_texts_are(spark):
     cased = [c for c in map(chr, range(1, sys.maxunicode + 1)) if c.lower() != c or c.upper() != c]
     texts = [p + c + q for c in [*cased, " ", "x"] for p, q in (("", ""), ("a", "b"), ("A", ""), ("A ", "  "))]
